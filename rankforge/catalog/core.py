@@ -1,19 +1,12 @@
-"""Registered queries: one per operator of the inventory, each reading the
-driver tables (through the behaviour view over ``orders`` or directly), plus
-the equivalent DuckDB SQL used as the correctness oracle.
-
-Conventions: computed doubles are rounded to 6 digits on both sides when an
-operator involves ``exp``/``ln``/``pow`` or sums whose order differs between
-engines (SQL~ in the inventory); counts are BIGINT, flags INTEGER.
-"""
+"""Features, cohort analytics, ranks and AUC."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankforge.catalog import sqlparts as SP
+from rankforge.catalog.base import D, register
 from rankforge.functions.columns import round_doubles
 from rankforge.operators import analytics as AN
 from rankforge.operators import features as FE
@@ -22,51 +15,13 @@ from rankforge.operators import rank as RK
 from rankforge.schema import LABEL
 from rankforge.sources.fixture import behaviour_view, scored_view, with_fixture
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(key: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLES[key] = sql
-        return fn
-    return deco
-
-
-def D(x) -> str:
-    return f"CAST({x} AS DOUBLE)"
-
-
 # =====================================================================================
 # F1-F16: feature projection preset
 # =====================================================================================
-_EPS = "CAST(1e-5 AS DOUBLE)"
-_F_SQL = f"""
-SELECT id,
-  daily_screen_time_hours - (coalesce(social_media_hours, {D(0)}) + coalesce(gaming_hours, {D(0)}) + coalesce(work_study_hours, {D(0)})) AS other_screen,
-  {D(24)} - (daily_screen_time_hours + work_study_hours + sleep_hours) AS unaccounted_hours,
-  daily_screen_time_hours - (social_media_hours + gaming_hours + work_study_hours) AS UTL,
-  (daily_screen_time_hours - (social_media_hours + gaming_hours + work_study_hours)) / (daily_screen_time_hours + {_EPS}) AS UTL_ratio,
-  gaming_hours / (daily_screen_time_hours + {_EPS}) AS gaming_to_screen_ratio,
-  social_media_hours / (daily_screen_time_hours + {_EPS}) AS social_to_screen_ratio,
-  daily_screen_time_hours / (sleep_hours + {_EPS}) AS screen_to_sleep_ratio,
-  notifications_per_day / (daily_screen_time_hours + {_EPS}) AS notifications_per_hour,
-  app_opens_per_day / (daily_screen_time_hours + {_EPS}) AS app_opens_per_hour,
-  app_opens_per_day / (notifications_per_day + {D(1)}) AS compulsive_pull_ratio,
-  weekend_screen_time / (daily_screen_time_hours + {_EPS}) AS weekend_screen_time_ratio,
-  {D(8)} - sleep_hours AS sleep_deficit,
-  work_study_hours / (daily_screen_time_hours + {_EPS}) AS productive_work_ratio,
-  (daily_screen_time_hours - coalesce(work_study_hours, {D(0)})) / (sleep_hours + {_EPS}) AS work_adjusted_screen_load,
-  round(work_study_hours / (daily_screen_time_hours + {_EPS}) * exp(-(social_media_hours + gaming_hours) / {D(2)}), 6) AS work_shield_factor,
-  CAST((age IS NULL)::INT + (daily_screen_time_hours IS NULL)::INT + (social_media_hours IS NULL)::INT
-     + (gaming_hours IS NULL)::INT + (work_study_hours IS NULL)::INT + (sleep_hours IS NULL)::INT
-     + (notifications_per_day IS NULL)::INT + (app_opens_per_day IS NULL)::INT
-     + (weekend_screen_time IS NULL)::INT AS INTEGER) AS missing_features_count
-FROM fx
-"""
+_EPS = SP.EPS
+_F_SQL = "SELECT id,\n  " + SP.features_select().replace(
+    SP.FEATURE_SQL["work_shield_factor"] + " AS work_shield_factor",
+    "round(" + SP.FEATURE_SQL["work_shield_factor"] + ", 6) AS work_shield_factor") + "\nFROM fx"
 
 
 @register("f01_f16_feature_projection", with_fixture(_F_SQL))
