@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankforge.catalog import sqlparts as SP
 from rankforge.catalog.base import D, register
-from rankforge.functions.columns import round_doubles
+from rankforge.functions.columns import rnd, round_doubles
 from rankforge.operators import analytics as AN
 from rankforge.operators import features as FE
 from rankforge.operators import metrics as ME
@@ -29,7 +29,7 @@ def q_features(spark, sf):
     df = behaviour_view(spark, sf)
     feats = FE.behaviour_features(df)
     out = df.select("id", *[v.alias(k) for k, v in feats.items()])
-    return out.withColumn("work_shield_factor", F.round("work_shield_factor", 6))
+    return out.withColumn("work_shield_factor", rnd("work_shield_factor", 6))
 
 
 # =====================================================================================

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rankforge.catalog import sqlparts as SP
 from rankforge.catalog.base import D, register
-from rankforge.functions.columns import round_doubles
+from rankforge.functions.columns import rnd, round_doubles
 from rankforge.functions.normal import probit_sql
 from rankforge.operators import analytics as AN
 from rankforge.operators import features as FE
@@ -91,7 +91,7 @@ FROM sx""", scores=True))
 def q_w3(spark, sf):
     df = scored_view(spark, sf).select("id", "p1")
     out = RK.with_ranks(df, "p1", kinds=("gauss_rank",))
-    return out.select("id", "p1", F.round("p1_gauss_rank", 6).alias("p1_gauss_rank"))
+    return out.select("id", "p1", rnd("p1_gauss_rank", 6).alias("p1_gauss_rank"))
 
 
 # ---------------------------------------------------------------------------------

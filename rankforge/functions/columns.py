@@ -76,11 +76,22 @@ def stable_hash_hex(key, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), c(key).cast("string")))
 
 
+def rnd(x, digits: int = 6) -> Column:
+    """Half-up rounding written as ``floor(x * 10^d + 0.5) / 10^d``.
+
+    Every step is one IEEE operation, so Spark and DuckDB give bit-identical
+    results for identical inputs (their built-in ``round`` use different
+    algorithms and disagree on values next to a rounding boundary).
+    """
+    scale = float(10 ** digits)
+    return F.floor(c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
 def round_doubles(df, digits: int = 6):
     """Round every double column (the oracle convention for SQL~ checks)."""
     from pyspark.sql import types as T
     return df.select([
-        F.round(F.col(f.name), digits).alias(f.name)
+        rnd(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.functions.columns import rnd
 from rankforge.schema import HARD_RESIDUAL
 
 
@@ -18,7 +19,7 @@ def conditional_means(df: DataFrame, label: str, predicates: dict[str, Column],
     aggs = []
     for name, pred in predicates.items():
         v = F.avg(F.when(pred, F.col(label).cast("double")))
-        aggs.append((F.round(v, digits) if digits is not None else v).alias(name))
+        aggs.append((rnd(v, digits) if digits is not None else v).alias(name))
     aggs.append(F.count(F.lit(1)).alias("sample_analyzed"))  # Q7
     return df.agg(*aggs)
 
@@ -53,13 +54,14 @@ def residual_correlations(df: DataFrame, cols: list[str], residual: str = "resid
                           medians: dict[str, float] | None = None) -> DataFrame:
     """Q10: Pearson correlation of each (median-filled) numeric column with the residual.
 
-    One pass computes every median (exact ``median``), a second single aggregate
-    computes every correlation; ``stack`` turns the one wide row into rows.
-    Undefined correlations (constant column) are dropped.
+    Exact medians come from the distributed rank primitive (one value per
+    column reaches the driver); a single aggregate then computes every
+    correlation and ``stack`` turns the one wide row into rows.  Undefined
+    correlations (constant column) are dropped.
     """
     if medians is None:
-        med_row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
-        medians = {c: med_row[c] for c in cols}
+        from rankforge.operators.encode import exact_medians
+        medians = {r["col"]: r["median"] for r in exact_medians(df, cols).collect()}
     aggs = []
     for c in cols:
         filled = F.coalesce(F.col(c).cast("double"), F.lit(medians[c]).cast("double"))
