@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.functions.columns import logit, sigmoid
+from rankforge.functions.columns import logit, rnd, sigmoid
 from rankforge.operators.metrics import auc_by
 from rankforge.operators.rank import percentile_rank_columns
 from rankforge.schema import LOGLOSS_CLIP
@@ -92,52 +92,53 @@ def lattice_auc(df: DataFrame, rank_cols: list[str], label: str, candidates,
     binned score (ties within a bin count 1/2).
     """
     strata = list(strata)
-    exprs = []
+    m = len(rank_cols)
     if alphas is None:
         cands = [(tuple(w), None) for w in candidates]
     else:
         cands = [(tuple(w), a) for w in candidates for a in alphas]
-    for w, a in cands:
-        s = weighted_blend(rank_cols, w) if a is None else two_stage_blend(rank_cols, w, other, a)
-        exprs.append(s)
-    binned = [F.least(F.floor(s * F.lit(float(n_bins))), F.lit(n_bins - 1)).cast("int") for s in exprs]
-    y = F.col(label).cast("int")
-    keep = [*strata, y.alias("_y")]
-    if loss_weight:
-        clip = LOGLOSS_CLIP
-        losses = []
-        for s in exprs:
-            p = F.least(F.greatest(s, F.lit(clip)), F.lit(1.0 - clip))
-            losses.append(-(F.col(label).cast("double") * F.ln(p)
-                            + (F.lit(1.0) - F.col(label).cast("double")) * F.ln(F.lit(1.0) - p)))
-        pairs = F.arrays_zip(F.array(*binned).alias("b"), F.array(*losses).alias("l"))
-        long = df.select(*keep, F.posexplode(pairs).alias("cand", "bl")) \
-                 .select(*strata, "_y", "cand", F.col("bl.b").alias("bin"), F.col("bl.l").alias("loss"))
-    else:
-        long = df.select(*keep, F.posexplode(F.array(*binned)).alias("cand", "bin"))
-        long = long.withColumn("loss", F.lit(0.0))
+    wnames = [f"w{j + 1}" for j in range(m)]
+    # one constant array of candidate structs (folded to a single literal);
+    # explode keeps the per-row expression small enough for whole-stage codegen
+    lattice = F.array(*[
+        F.struct(F.lit(i).alias("cand"), *[F.lit(float(x)).alias(n) for x, n in zip(w, wnames)],
+                 F.lit(float(a) if a is not None else 1.0).alias("alpha"))
+        for i, (w, a) in enumerate(cands)])
+    keep = [*strata, F.col(label).cast("int").alias("_y"), *rank_cols] + ([other] if other else [])
+    long = df.select(*keep, F.explode(lattice).alias("c"))
+    wsum = None
+    for n, r in zip(wnames, rank_cols):
+        t = F.col(f"c.{n}") * F.col(r)
+        wsum = t if wsum is None else wsum + t
+    score = wsum if alphas is None else \
+        F.col("c.alpha") * wsum + (F.lit(1.0) - F.col("c.alpha")) * F.col(other)
+    long = long.select(*strata, "_y", F.col("c.cand").alias("cand"),
+                       *[F.col(f"c.{n}").alias(n) for n in wnames], F.col("c.alpha").alias("alpha"),
+                       F.least(F.floor(score * F.lit(float(n_bins))), F.lit(n_bins - 1)).cast("int").alias("bin"),
+                       *([_logloss_term(score, "_y")] if loss_weight else [F.lit(0.0).alias("loss")]))
     g = long.groupBy(*strata, "cand", "bin").agg(
         F.sum("_y").alias("npos"), F.sum(F.lit(1) - F.col("_y")).alias("nneg"),
-        F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n"))
+        F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n"),
+        *[F.first(n).alias(n) for n in wnames], F.first("alpha").alias("alpha"))
     w = Window.partitionBy(*strata, "cand").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     g = g.withColumn("before_neg", F.coalesce(F.sum("nneg").over(w), F.lit(0)))
     res = g.groupBy(*strata, "cand").agg(
         (F.sum(F.col("npos").cast("double") * (F.lit(2.0) * F.col("before_neg") + F.col("nneg")))
          / (F.lit(2.0) * F.sum("npos").cast("double") * F.sum("nneg").cast("double"))).alias("auc"),
-        (F.sum("loss") / F.sum("n")).alias("log_loss"))
+        (F.sum("loss") / F.sum("n")).alias("log_loss"),
+        *[F.first(n).alias(n) for n in wnames], F.first("alpha").alias("alpha"))
     res = res.withColumn("objective", -F.col("auc") + F.lit(float(loss_weight)) * F.col("log_loss"))
-    # attach the candidate weights (K rows, bounded by the lattice size)
-    spark = df.sparkSession
-    m = len(rank_cols)
-    rows = [(i, *map(float, w), (float(a) if a is not None else None)) for i, (w, a) in enumerate(cands)]
-    schema = "cand int, " + ", ".join(f"w{i + 1} double" for i in range(m)) + ", alpha double"
-    wt = spark.createDataFrame(rows, schema)
-    out = res.join(F.broadcast(wt), ["cand"], "inner")
     if alphas is None:
-        out = out.drop("alpha")
+        res = res.drop("alpha")
     if not loss_weight:
-        out = out.drop("log_loss", "objective")
-    return out
+        res = res.drop("log_loss", "objective")
+    return res
+
+
+def _logloss_term(score: Column, y: str, clip: float = LOGLOSS_CLIP) -> Column:
+    p = F.least(F.greatest(score, F.lit(clip)), F.lit(1.0 - clip))
+    yd = F.col(y).cast("double")
+    return (-(yd * F.ln(p) + (F.lit(1.0) - yd) * F.ln(F.lit(1.0) - p))).alias("loss")
 
 
 @dataclass
@@ -228,9 +229,16 @@ def logit_tree_blend(cols: list[str], weights, clip: float = 1e-5) -> Column:
 
 
 def logit_then_rank_blend(df: DataFrame, tree_cols: list[str], tree_w, other: str, alpha: float,
-                          out: str = "score") -> DataFrame:
-    """Logit-average trees -> percentile rank; rank the other model; alpha-blend ranks."""
-    d = df.withColumn("_tree", logit_tree_blend(tree_cols, tree_w))
+                          out: str = "score", tie_digits: int | None = None) -> DataFrame:
+    """Logit-average trees -> percentile rank; rank the other model; alpha-blend ranks.
+
+    ``tie_digits`` rounds the tree score before ranking so that last-bit
+    differences of ``exp``/``ln`` between engines cannot reorder rows.
+    """
+    tree = logit_tree_blend(tree_cols, tree_w)
+    if tie_digits is not None:
+        tree = rnd(tree, tie_digits)
+    d = df.withColumn("_tree", tree)
     d = percentile_rank_columns(d, ["_tree", other], prefix="_r")
     return d.withColumn(out, F.lit(float(alpha)) * F.col("_r_tree")
                         + F.lit(1.0 - float(alpha)) * F.col(f"_r{other}")).drop("_tree", "_r_tree", f"_r{other}")

@@ -128,23 +128,37 @@ def _with_totals(t: DataFrame, strata, col: str, total: int) -> DataFrame:
 
 
 def attach_by_value(rows: DataFrame, table: DataFrame, keys: list[str], payload: list[str],
-                    total: int, count_col: str = "n", max_hot: int = 10000) -> DataFrame:
-    """Join ``payload`` columns of a per-value table back to rows, skew-safe.
-
-    Values with ``count >= ceil(total / max_hot)`` are 'hot'; there are at most
-    ``max_hot`` of them, so that side is broadcast with a proven bound.  The
-    remaining values each hold fewer than total / max_hot rows and are joined by
-    a normal shuffle join.  Rows with a NULL key get NULL payload.
+                    total: int, count_col: str = "n", max_hot: int = 10000,
+                    salts: int | None = None) -> DataFrame:
+    """Left-join ``payload`` columns of a per-value table back to rows, skew-safe.
+
+    Values with ``count >= ceil(total / max_hot)`` are 'hot': at most
+    ``max_hot`` of them exist, so they are attached by a broadcast join with a
+    proven size bound.  The remaining ('cold') values each hold fewer than
+    total / max_hot rows and are attached by one shuffle join on
+    ``(keys, _salt)``: cold rows use salt 0, while hot rows and rows with a NULL
+    key (which can never match) get a deterministic salt in 1..S so they spread
+    over S reducers instead of piling into one.  One linear plan, no union.
     """
     threshold = max(2, math.ceil(max(total, 1) / max_hot))
-    hot = table.where(F.col(count_col) >= threshold).select(*keys, *payload) \
-               .withColumn("_hot", F.lit(True))
-    cold = table.where(F.col(count_col) < threshold).select(*keys, *payload)
+    if salts is None:
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = (table.where(F.col(count_col) >= threshold)
+           .select(*keys, *[F.col(p).alias(f"_h_{p}") for p in payload])
+           .withColumn("_hot", F.lit(True)))
+    cold = (table.where(F.col(count_col) < threshold)
+            .select(*keys, *[F.col(p).alias(f"_c_{p}") for p in payload])
+            .withColumn("_salt", F.lit(0)))
+    base_cols = list(rows.columns)
     tagged = rows.join(F.broadcast(hot), keys, "left")
-    hot_rows = tagged.where(F.col("_hot")).drop("_hot")
-    cold_rows = tagged.where(F.col("_hot").isNull()).drop("_hot", *payload) \
-                      .join(cold, keys, "left")
-    return hot_rows.unionByName(cold_rows)
+    no_match = F.col("_hot").isNotNull()
+    for k in keys:
+        no_match = no_match | F.col(k).isNull()
+    spread = F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in base_cols]), F.lit(salts)).cast("int")
+    tagged = tagged.withColumn("_salt", F.when(no_match, spread).otherwise(F.lit(0)))
+    joined = tagged.join(cold, [*keys, "_salt"], "left")
+    return joined.select(*base_cols, *[F.coalesce(F.col(f"_h_{p}"), F.col(f"_c_{p}")).alias(p)
+                                       for p in payload])
 
 
 def with_ranks(df: DataFrame, value: str, strata=(), out_prefix: str | None = None,
