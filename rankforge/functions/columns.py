@@ -62,13 +62,21 @@ def sigmoid(x) -> Column:
     return lit(1) / (lit(1) + F.exp(-c(x)))
 
 
-def logit(p, clip: float) -> Column:
-    q = F.least(F.greatest(c(p), lit(clip)), lit(1 - clip))
+def logit(p, clip_eps: float) -> Column:
+    q = clip(p, clip_eps, 1 - clip_eps)
     return F.ln(q / (lit(1) - q))
 
 
 def clip(x, lo: float, hi: float) -> Column:
-    return F.least(F.greatest(c(x), lit(lo)), lit(hi))
+    """``np.clip``: NULL stays NULL (Spark's least/greatest skip NULL arguments)."""
+    x = c(x)
+    return F.when(x.isNotNull(), F.least(F.greatest(x, lit(lo)), lit(hi)))
+
+
+def floor_at(x, lo: float) -> Column:
+    """``np.maximum(lo, x)`` with NULL propagation."""
+    x = c(x)
+    return F.when(x.isNotNull(), F.greatest(x, lit(lo)))
 
 
 def stable_hash_hex(key, seed: int | str) -> Column:

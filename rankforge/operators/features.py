@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.functions.columns import (budget_residual, div_or_null, lit, null_count,
-                                         residual, safe_ratio, sigmoid, strict_ratio)
+from rankforge.functions.columns import (budget_residual, clip, div_or_null, floor_at, lit,
+                                         null_count, residual, safe_ratio, sigmoid, strict_ratio)
 from rankforge.schema import FEATURE_EPS, NUMERIC_COLUMNS, STRESS_ORDINAL
 from rankforge.sources.tables import col_or_null
 
@@ -67,7 +67,7 @@ def vault_features(df: DataFrame, eps: float = FEATURE_EPS) -> dict[str, Column]
     """Formulas specified in the feature vault / reviews."""
     scr, soc, gam, wrk, slp, ntf, app, wkd = _raw(df)
     leisure = soc + gam
-    awake = F.least(F.greatest(lit(24.0) - slp, lit(4.0)), lit(20.0))
+    awake = clip(lit(24.0) - slp, 4.0, 20.0)
     act = soc + gam + wrk
     shares = [div_or_null(x, act) for x in (soc, gam, wrk)]
     entropy = -(shares[0] * F.ln(shares[0] + lit(1e-6))
@@ -81,7 +81,7 @@ def vault_features(df: DataFrame, eps: float = FEATURE_EPS) -> dict[str, Column]
         # G1
         "compulsive_checking_velocity": (ntf / (app + lit(1.0))) * div_or_null(scr, lit(24.0) - slp),
         # G2
-        "circadian_dopamine_strain": F.greatest(lit(0.0), lit(8.0) - slp)
+        "circadian_dopamine_strain": floor_at(lit(8.0) - slp, 0.0)
                                       * F.pow(leisure, lit(1.5)) / (slp + lit(1.0)),
         # G3, G4
         "synthetic_budget_deficit": (soc + gam + wrk) - scr,
@@ -106,7 +106,7 @@ def vault_features(df: DataFrame, eps: float = FEATURE_EPS) -> dict[str, Column]
         "awake_hours": awake,
         "leisure_to_awake_ratio": leisure / awake,
         "screen_to_awake_ratio": scr / awake,
-        "nocturnal_displacement_risk": F.greatest(lit(0.0), (scr + wrk) - awake),
+        "nocturnal_displacement_risk": floor_at((scr + wrk) - awake, 0.0),
         # G16
         "screen_x_social": scr * soc,
         "screen_per_awake_budget": div_or_null(scr, lit(24.0) - slp),
