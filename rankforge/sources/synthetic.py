@@ -1,0 +1,61 @@
+"""Seeded synthetic behaviour columns, derived from a key column.
+
+Each value is a pure function of (seed, column, key) through ``xxhash64``, so
+the table is reproducible, splits freely across partitions and needs no
+driver-side RNG.  Poisson(50) uses inverse-CDF search over a literal array of
+cumulative probabilities (built once on the driver from the rate).
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def uniform01(key: Column, seed: int, salt: str) -> Column:
+    """U[0,1) from 53 bits of xxhash64(seed, salt, key)."""
+    h = F.xxhash64(F.lit(seed), F.lit(salt), key)
+    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+
+
+def poisson_cdf_table(rate: float, tail: float = 1e-12) -> list[float]:
+    cdf, p, k = [], math.exp(-rate), 0
+    acc = p
+    while acc < 1.0 - tail and k < 10 * rate + 100:
+        cdf.append(acc)
+        k += 1
+        p = p * rate / k
+        acc += p
+    cdf.append(1.0)
+    return cdf
+
+
+def poisson(key: Column, seed: int, salt: str, rate: float) -> Column:
+    """Inverse CDF: number of cumulative probabilities strictly below u."""
+    u = uniform01(key, seed, salt)
+    cdf = F.array(*[F.lit(x) for x in poisson_cdf_table(rate)])
+    return F.size(F.filter(cdf, lambda x: x < u)).cast("double")
+
+
+def synthetic_behaviour(keys: DataFrame, key: str = "id", seed: int = 42) -> DataFrame:
+    """The test-fixture shape: age int-uniform 10..79, screen U(0,24), social/gaming U(0,10),
+    sleep U(4,12), notifications Poisson(50), gender / stress choices, label from a logistic rule."""
+    k = F.col(key)
+    u = lambda salt: uniform01(k, seed, salt)
+    genders = F.array(F.lit("Male"), F.lit("Female"), F.lit("Other"))
+    stress = F.array(F.lit("Low"), F.lit("Medium"), F.lit("High"))
+    screen = u("screen") * F.lit(24.0)
+    return keys.select(
+        k.alias("id"),
+        (F.lit(10) + F.floor(u("age") * F.lit(70.0))).cast("double").alias("age"),
+        F.element_at(genders, (F.floor(u("gender") * 3) + 1).cast("int")).alias("gender"),
+        screen.alias("daily_screen_time_hours"),
+        (u("social") * F.lit(10.0)).alias("social_media_hours"),
+        (u("gaming") * F.lit(10.0)).alias("gaming_hours"),
+        (F.lit(4.0) + u("sleep") * F.lit(8.0)).alias("sleep_hours"),
+        poisson(k, seed, "notif", 50.0).alias("notifications_per_day"),
+        F.element_at(stress, (F.floor(u("stress") * 3) + 1).cast("int")).alias("stress_level"),
+        (u("label") < F.lit(1.0) / (F.lit(1.0) + F.exp(-(screen - F.lit(6.5))))).cast("int").alias("addicted_label"),
+    )
