@@ -96,29 +96,47 @@ def apply_oof_encoding(rows: DataFrame, enc_map: DataFrame, level_exprs: dict[st
                        fold_col: str = "fold", total: int | None = None,
                        max_hot: int = 10000) -> DataFrame:
     """Attach ``{col}_te`` / ``{col}_freq`` for each level column, keyed by (level, fold)."""
+    stats = map_stats(enc_map)
     out = rows
-    if total is None:
-        total = rows.count()
     for name, expr in level_exprs.items():
         lvl = f"_lvl_{name}"
         out = out.withColumn(lvl, expr)
         m = (enc_map.where(F.col("col") == name)
              .select(F.col("level").alias(lvl), fold_col, "n",
                      F.col("te").alias(f"{name}_te"), F.col("freq").alias(f"{name}_freq")))
-        out = attach_by_value(out, m, [lvl, fold_col], [f"{name}_te", f"{name}_freq"],
-                              total, "n", max_hot).drop(lvl)
+        map_rows, map_total, _ = stats.get(name, (0, 0, None))
+        out = attach_map(out, m, [lvl, fold_col], [f"{name}_te", f"{name}_freq"],
+                         total if total is not None else map_total, map_rows, max_hot).drop(lvl)
     return out
 
 
+def map_stats(enc_map: DataFrame) -> dict:
+    """col -> (map rows, sum of n, global mean) in ONE small job over the encoder map."""
+    aggs = [F.count(F.lit(1)).alias("rows"), F.sum("n").alias("N")]
+    has_gm = "global_mean" in enc_map.columns
+    if has_gm:
+        aggs.append(F.first("global_mean").alias("gm"))
+    return {r["col"]: (int(r["rows"]), int(r["N"] or 0), r["gm"] if has_gm else None)
+            for r in enc_map.groupBy("col").agg(*aggs).collect()}        # one row per level column
+
+
+def attach_map(rows: DataFrame, m: DataFrame, keys: list[str], payload: list[str], total: int,
+               map_rows: int, max_hot: int = 10000) -> DataFrame:
+    """Attach an encoder map: a plain broadcast left join when its counted size is
+    within ``max_hot`` rows (a proven bound), else the skew-safe hot/cold join."""
+    if map_rows <= max_hot:
+        return rows.join(F.broadcast(m.drop("n")), keys, "left")
+    return attach_by_value(rows, m, keys, payload, total, "n", max_hot)
+
+
 # ---------------------------------------------------------------------------------
 # Frozen map transform with defaults for unseen levels
 # ---------------------------------------------------------------------------------
 def apply_frozen_encoding(rows: DataFrame, enc_map: DataFrame, level_exprs: dict[str, Column],
                           total: int | None = None, max_hot: int = 10000) -> DataFrame:
     """Unseen level -> global mean (te) / 0.0 (freq)."""
-    means = enc_map.groupBy("col").agg(F.first("global_mean").alias("gm"), F.sum("n").alias("N"))
-    stats = {r["col"]: (r["gm"], r["N"]) for r in means.collect()}  # one row per level column
-    gm = {k: v[0] for k, v in stats.items()}
+    stats = map_stats(enc_map)
+    gm = {k: v[2] for k, v in stats.items()}
     out = rows
     for name, expr in level_exprs.items():
         lvl = f"_lvl_{name}"
@@ -126,8 +144,9 @@ def apply_frozen_encoding(rows: DataFrame, enc_map: DataFrame, level_exprs: dict
         m = (enc_map.where(F.col("col") == name)
              .select(F.col("level").alias(lvl), "n",
                      F.col("te").alias(f"{name}_te"), F.col("freq").alias(f"{name}_freq")))
-        fit_total = total if total is not None else int(stats.get(name, (None, 0))[1] or 0)
-        out = attach_by_value(out, m, [lvl], [f"{name}_te", f"{name}_freq"], fit_total, "n", max_hot)
+        map_rows, map_total, _ = stats.get(name, (0, 0, None))
+        out = attach_map(out, m, [lvl], [f"{name}_te", f"{name}_freq"],
+                         total if total is not None else map_total, map_rows, max_hot)
         out = out.withColumns({
             f"{name}_te": F.coalesce(F.col(f"{name}_te"), F.lit(gm.get(name))),
             f"{name}_freq": F.coalesce(F.col(f"{name}_freq"), F.lit(0.0)),
