@@ -15,6 +15,7 @@ winner and of every single model is computed and the best is returned, so
 from __future__ import annotations
 
 import itertools
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,12 +99,14 @@ def lattice_auc(df: DataFrame, rank_cols: list[str], label: str, candidates,
     else:
         cands = [(tuple(w), a) for w in candidates for a in alphas]
     wnames = [f"w{j + 1}" for j in range(m)]
-    # one constant array of candidate structs (folded to a single literal);
-    # explode keeps the per-row expression small enough for whole-stage codegen
-    lattice = F.array(*[
-        F.struct(F.lit(i).alias("cand"), *[F.lit(float(x)).alias(n) for x, n in zip(w, wnames)],
-                 F.lit(float(a) if a is not None else 1.0).alias("alpha"))
-        for i, (w, a) in enumerate(cands)])
+    # the candidate list travels as ONE JSON string literal that constant folding
+    # turns into a single array<struct> literal: planning stays O(1) in the number
+    # of candidates, and explode keeps the per-row expression small for codegen
+    payload = json.dumps([{"cand": i, **{n: float(x) for x, n in zip(w, wnames)},
+                           "alpha": float(a) if a is not None else 1.0}
+                          for i, (w, a) in enumerate(cands)])
+    ddl = "array<struct<cand:int," + ",".join(f"{n}:double" for n in wnames) + ",alpha:double>>"
+    lattice = F.from_json(F.lit(payload), ddl)
     keep = [*strata, F.col(label).cast("int").alias("_y"), *rank_cols] + ([other] if other else [])
     long = df.select(*keep, F.explode(lattice).alias("c"))
     wsum = None
@@ -113,20 +116,21 @@ def lattice_auc(df: DataFrame, rank_cols: list[str], label: str, candidates,
     score = wsum if alphas is None else \
         F.col("c.alpha") * wsum + (F.lit(1.0) - F.col("c.alpha")) * F.col(other)
     long = long.select(*strata, "_y", F.col("c.cand").alias("cand"),
-                       *[F.col(f"c.{n}").alias(n) for n in wnames], F.col("c.alpha").alias("alpha"),
                        F.least(F.floor(score * F.lit(float(n_bins))), F.lit(n_bins - 1)).cast("int").alias("bin"),
                        *([_logloss_term(score, "_y")] if loss_weight else [F.lit(0.0).alias("loss")]))
     g = long.groupBy(*strata, "cand", "bin").agg(
         F.sum("_y").alias("npos"), F.sum(F.lit(1) - F.col("_y")).alias("nneg"),
-        F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n"),
-        *[F.first(n).alias(n) for n in wnames], F.first("alpha").alias("alpha"))
+        F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(*strata, "cand").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     g = g.withColumn("before_neg", F.coalesce(F.sum("nneg").over(w), F.lit(0)))
     res = g.groupBy(*strata, "cand").agg(
         (F.sum(F.col("npos").cast("double") * (F.lit(2.0) * F.col("before_neg") + F.col("nneg")))
          / (F.lit(2.0) * F.sum("npos").cast("double") * F.sum("nneg").cast("double"))).alias("auc"),
-        (F.sum("loss") / F.sum("n")).alias("log_loss"),
-        *[F.first(n).alias(n) for n in wnames], F.first("alpha").alias("alpha"))
+        (F.sum("loss") / F.sum("n")).alias("log_loss"))
+    # candidate weights: K rows from the same literal, equi-joined on the candidate id
+    weights = df.sparkSession.range(1).select(F.explode(lattice).alias("c")).select(
+        F.col("c.cand").alias("cand"), *[F.col(f"c.{n}").alias(n) for n in wnames], F.col("c.alpha").alias("alpha"))
+    res = res.join(F.broadcast(weights), ["cand"], "inner")
     res = res.withColumn("objective", -F.col("auc") + F.lit(float(loss_weight)) * F.col("log_loss"))
     if alphas is None:
         res = res.drop("alpha")

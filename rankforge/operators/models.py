@@ -58,7 +58,7 @@ def estimator(name: str, label: str, n_features: int | None = None, n_estimators
             p["maxIter"] = n_estimators
         est = GBTClassifier(**common, **p)
         if validation_col:
-            est.setValidationIndicatorCol(validation_col).setValidationTol(0.0)
+            est.setParams(validationIndicatorCol=validation_col, validationTol=0.0)
     elif kind == "rf":
         if n_estimators is not None:
             p["numTrees"] = n_estimators

@@ -174,11 +174,61 @@ def with_ranks(df: DataFrame, value: str, strata=(), out_prefix: str | None = No
 
 def percentile_rank_columns(df: DataFrame, cols: list[str], strata=(), prefix: str = "r_",
                             kind: str = "pct_rank", n_buckets: int | None = None,
-                            max_hot: int = 10000) -> DataFrame:
-    """Replace-free: add ``{prefix}{c}`` = percentile (or Gauss) rank of each column."""
+                            max_hot: int = 10000, eps: float = GAUSS_CLIP) -> DataFrame:
+    """Add ``{prefix}{c}`` = percentile (or Gauss) rank of each column, all columns at once.
+
+    1. one job: per-column split points (``percentile_approx``) and counts;
+    2. each column bucketed with its own splits (multi-column Bucketizer), the
+       columns stacked to (model, value, bucket) and tie-collapsed in ONE group-by;
+    3. per-(model, bucket) offsets (bounded: |cols| x |strata| x B rows) +
+       in-bucket running sums give the average rank of every distinct value;
+    4. that value table is checkpointed (reliable, shared storage), counted per
+       column, and joined back: a plain broadcast when the exact count is within
+       ``max_hot``, else the skew-safe hot/cold join.
+    """
+    strata = list(strata)
+    spark = df.sparkSession
+    B = n_buckets or default_buckets(spark)
+    probs = [i / B for i in range(1, B)]
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * B).alias(f"q{i}")
+                   for i, c in enumerate(cols)],
+                 *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    splits = {c: sorted({float(x) for x in (row[f"q{i}"] or []) if x is not None and not math.isnan(x)})
+              for i, c in enumerate(cols)}
+    totals = {c: int(row[f"n{i}"] or 0) for i, c in enumerate(cols)}
+    tmp_in = {c: f"_rk_in{i}" for i, c in enumerate(cols)}
+    tmp_b = {c: f"_rk_b{i}" for i, c in enumerate(cols)}
+    d = df.select(*strata, *[F.col(c).cast("double").alias(tmp_in[c]) for c in cols])
+    d = Bucketizer(splitsArray=[[-math.inf] + splits[c] + [math.inf] for c in cols],
+                   inputCols=[tmp_in[c] for c in cols], outputCols=[tmp_b[c] for c in cols],
+                   handleInvalid="keep").transform(d)
+    args = ", ".join(f"'{c}', `{tmp_in[c]}`, CAST(`{tmp_b[c]}` AS INT)" for c in cols)
+    long = d.select(*strata, F.expr(f"stack({len(cols)}, {args}) AS (model, value, {BUCKET})"))
+    t = long.where(F.col("value").isNotNull()).groupBy("model", *strata, BUCKET, "value") \
+            .agg(F.count(F.lit(1)).alias("n"))
+    key = ["model", *strata]
+    bt = t.groupBy(*key, BUCKET).agg(F.sum("n").alias("_bn"))
+    w_off = Window.partitionBy(*key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offs = bt.select(*key, BUCKET, F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off"))
+    tot = bt.groupBy(*key).agg(F.sum("_bn").alias("_tot"))
+    w_in = Window.partitionBy(*key, BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    # offs: |cols| x |strata| x B rows; tot: |cols| x |strata| rows -> bounded broadcasts
+    t = (t.join(F.broadcast(offs), [*key, BUCKET]).join(F.broadcast(tot), key)
+          .withColumn("avg_rank", F.col("_off") + F.coalesce(F.sum("n").over(w_in), F.lit(0))
+                      + (F.col("n") + F.lit(1)) / F.lit(2.0)))
+    t = t.withColumn("pct_rank", (F.col("avg_rank") - F.lit(0.5)) / F.col("_tot"))
+    if kind == "gauss_rank":
+        t = t.withColumn("gauss_rank", probit(F.least(F.greatest(F.col("pct_rank"), F.lit(eps)),
+                                                      F.lit(1.0 - eps))))
+    t = t.select("model", *strata, "value", "n", kind).checkpoint(eager=True)
+    sizes = {r["model"]: int(r["rows"]) for r in
+             t.groupBy("model").agg(F.count(F.lit(1)).alias("rows")).collect()}      # one row per column
     out = df
     for c in cols:
-        t, splits = rank_table(df, c, strata, None, n_buckets)
-        payload = t.select(*strata, c, "n", F.col(kind).alias(prefix + c))
-        out = attach_by_value(out, payload, [*strata, c], [prefix + c], splits.total, "n", max_hot)
+        m = t.where(F.col("model") == c).select(*strata, F.col("value").alias(c), "n",
+                                                F.col(kind).alias(prefix + c))
+        if sizes.get(c, 0) <= max_hot:
+            out = out.join(F.broadcast(m.drop("n")), [*strata, c], "left")
+        else:
+            out = attach_by_value(out, m, [*strata, c], [prefix + c], totals[c], "n", max_hot)
     return out
