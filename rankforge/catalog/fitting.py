@@ -240,3 +240,15 @@ def q_a7(spark, sf):
     defaults = spark.createDataFrame([(c, "smoothing", float(TE_SMOOTHING)) for c in LEVEL_COLS],
                                      "model string, param string, value double")
     return SK.merge_params(defaults, tuned)
+
+
+# ---------------------------------------------------------------------------------
+# the full scoring lifecycle (M8 -> W3 -> C3 -> M9 -> C2 -> C1)
+# ---------------------------------------------------------------------------------
+@register("score_batch_lifecycle")
+def q_score_batch(spark, sf):
+    from rankforge.plans import score as SC
+    res = cached_cv(spark, sf)
+    stacker = SC.fit_stacker(res, CV.DEFAULT_FAMILIES, LABEL)
+    out = SC.score_batch(res, _raw_test(spark, sf), CV.DEFAULT_FAMILIES, stacker)
+    return out.scores

@@ -239,16 +239,19 @@ def unseen_levels(train: DataFrame, apply: DataFrame, cols: list[str],
 
 
 def apply_codes(rows: DataFrame, code_map: DataFrame, cols: list[str], token: str | None,
-                unknown: int | None = None) -> DataFrame:
+                unknown: int | None = None, max_broadcast: int = 100000) -> DataFrame:
     """Replace each categorical with its code (E3), unseen -> ``unknown`` (E4: -1)."""
     out = rows
+    sizes = {r["col"]: int(r["rows"]) for r in
+             code_map.groupBy("col").agg(F.count(F.lit(1)).alias("rows")).collect()}   # one per column
     for c in cols:
         m = code_map.where(F.col("col") == c).select(F.col("level").alias(f"_lv_{c}"),
                                                      F.col("code").alias(f"_code_{c}"))
         key = F.col(c).cast("string") if token is None else F.coalesce(F.col(c).cast("string"), F.lit(token))
-        # one row per class of a categorical column: bounded by the vocabulary
+        # one row per class: broadcast only behind the counted vocabulary size
+        right = F.broadcast(m) if sizes.get(c, 0) <= max_broadcast else m
         out = (out.withColumn(f"_lv_{c}", key)
-                  .join(F.broadcast(m), [f"_lv_{c}"], "left")
+                  .join(right, [f"_lv_{c}"], "left")
                   .withColumn(c, F.col(f"_code_{c}") if unknown is None
                               else F.coalesce(F.col(f"_code_{c}"), F.lit(unknown)))
                   .drop(f"_lv_{c}", f"_code_{c}"))
