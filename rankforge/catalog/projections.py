@@ -119,7 +119,7 @@ _NARROW = {"age": (10.0, 60.0), SCR: (0.0, 12.0), SLP: (0.0, 24.0)}
 
 
 @register("b4_row_validation", with_fixture(f"""
-SELECT id, len(v) AS n_violations, array_to_string(v, '; ') AS violations FROM (
+SELECT id, CAST(len(v) AS INTEGER) AS n_violations, array_to_string(v, '; ') AS violations FROM (
   SELECT id, list_filter([CASE WHEN age < {D(10)} OR age > {D(60)} THEN 'age out of [10.0, 60.0]' END,
                           CASE WHEN {SCR} < {D(0)} OR {SCR} > {D(12)} THEN '{SCR} out of [0.0, 12.0]' END,
                           CASE WHEN {SLP} < {D(0)} OR {SLP} > {D(24)} THEN '{SLP} out of [0.0, 24.0]' END],
@@ -142,9 +142,9 @@ def q_b4_valid(spark, sf):
 
 
 @register("b5_downcast", with_fixture(f"""
-SELECT CAST(id AS INTEGER) AS id, CAST({LABEL} AS TINYINT) AS {LABEL}, CAST({SCR} AS FLOAT) AS {SCR} FROM fx"""))
+SELECT CAST({LABEL} AS TINYINT) AS {LABEL}, CAST({SCR} AS FLOAT) AS {SCR}, CAST(age AS FLOAT) AS age FROM fx"""))
 def q_b5(spark, sf):
-    return VA.downcast(behaviour_view(spark, sf).select("id", LABEL, SCR))
+    return VA.downcast(behaviour_view(spark, sf).select(LABEL, SCR, "age"))
 
 
 @register("b9_predicate_filter", with_fixture(f"""

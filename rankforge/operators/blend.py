@@ -25,6 +25,7 @@ from rankforge.functions.columns import logit, rnd, sigmoid
 from rankforge.operators.metrics import auc_by
 from rankforge.operators.rank import percentile_rank_columns
 from rankforge.schema import LOGLOSS_CLIP
+from rankforge.sources.tables import ensure_parallelism
 
 N_BINS = 4096
 
@@ -108,7 +109,8 @@ def lattice_auc(df: DataFrame, rank_cols: list[str], label: str, candidates,
     ddl = "array<struct<cand:int," + ",".join(f"{n}:double" for n in wnames) + ",alpha:double>>"
     lattice = F.from_json(F.lit(payload), ddl)
     keep = [*strata, F.col(label).cast("int").alias("_y"), *rank_cols] + ([other] if other else [])
-    long = df.select(*keep, F.explode(lattice).alias("c"))
+    # K output rows per input row: make sure the input is spread over all cores first
+    long = ensure_parallelism(df.select(*keep)).select("*", F.explode(lattice).alias("c"))
     wsum = None
     for n, r in zip(wnames, rank_cols):
         t = F.col(f"c.{n}") * F.col(r)
