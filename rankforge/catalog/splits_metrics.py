@@ -254,7 +254,7 @@ def q_q13(spark, sf):
 
 
 @register("q14_score_summary", with_fixture("""
-SELECT min(p1) AS min_score, max(p1) AS max_score, round(avg(p1), 6) AS mean_score, count(*) AS n_rows FROM sx""",
+SELECT round(min(p1), 6) AS min_score, round(max(p1), 6) AS max_score, round(avg(p1), 6) AS mean_score, count(*) AS n_rows FROM sx""",
                                             scores=True))
 def q_q14(spark, sf):
     return round_doubles(ME.score_summary(scored_view(spark, sf), "p1"))
