@@ -89,7 +89,7 @@ def q_m4_m5(spark, sf):
 
 @register("m6_early_stopping")
 def q_m6(spark, sf):
-    res = CV.cross_validate(_raw_train(spark, sf), LABEL, 2, ("gbt_depthwise",), 20, SEED,
+    res = CV.cross_validate(_raw_train(spark, sf), LABEL, 2, ("gbt_depthwise",), 10, SEED,
                             early_stop=True, keep_models=True)
     n_trees = [(f, len(m.stages[-1].trees)) for (f, _), m in res.models.items()]
     trees = spark.createDataFrame(n_trees, "fold int, n_trees int")
