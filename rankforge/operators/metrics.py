@@ -9,20 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.rank import prefix_sums, quantile_splits, value_table
+from rankforge.operators.rank import Splits, prefix_sums, quantile_splits, value_table
 from rankforge.schema import LOGLOSS_CLIP
 from rankforge.session import default_buckets
 
 
-def auc_by(df: DataFrame, score: str, label: str, strata=(), n_buckets: int | None = None) -> DataFrame:
+def auc_by(df: DataFrame, score: str, label: str, strata=(), n_buckets: int | None = None,
+           small_domain: bool = False) -> DataFrame:
     """Q1/Q2: ROC AUC with ties = 1/2, per stratum (rank-sum / Mann-Whitney form).
 
     AUC = sum_v npos_v * (neg_below_v + nneg_v / 2) / (P * Nn).  The numerator is
     kept as ``2 * ...`` in integer-valued doubles so both engines agree exactly.
+    ``small_domain=True`` is for callers that have counted the distinct scores
+    per stratum (e.g. encoder values, levels x folds): the quantile job is
+    skipped and one running-sum window per stratum covers that bounded table.
     """
     strata = list(strata)
     t = value_table(df, score, strata, label).withColumn("nneg", F.col("n") - F.col("npos"))
-    splits = quantile_splits(t, score, n_buckets or default_buckets(df.sparkSession))
+    splits = Splits([], 0) if small_domain else \
+        quantile_splits(t, score, n_buckets or default_buckets(df.sparkSession))
     t = prefix_sums(t, score, strata, ["nneg"], splits)
     num = F.col("npos").cast("double") * (F.lit(2.0) * F.col("before_nneg") + F.col("nneg"))
     agg = t.groupBy(*strata).agg(
