@@ -47,3 +47,11 @@ def test_schema_helpers(spark):
     with pytest.raises(ValueError):
         VA.require_columns(df, ["addicted_label", "missing_col"])
     assert VA.first_non_id(df.select("id", "p1")) == "p1"
+
+
+def test_scan_reads_only_needed_columns(spark):
+    """Column pruning reaches the parquet scan of the behaviour view."""
+    import __spark_entry__ as E
+    df = E.queries()["b9_predicate_filter"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "o_orderpriority" not in plan and "o_orderdate" not in plan
