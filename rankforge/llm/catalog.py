@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankforge.llm import hilbert_shards, mix_sources
+from rankforge.llm import bpe, hilbert_shards, mix_sources, simhash, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hilbert_shards": hilbert_shards.query,
+        "op2_bpe": bpe.query,
         "op3_mix_sources": mix_sources.query,
+        "op7_token_files": token_files.query,
+        "op9_simhash": simhash.query,
     }
 
 
