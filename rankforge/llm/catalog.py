@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankforge.llm import bpe, hilbert_shards, mix_sources, simhash, token_files
+from rankforge.llm import bpe, embedding_dedup, hilbert_shards, line_dedup, mix_sources, simhash, token_files, unit_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,7 +14,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_hilbert_shards": hilbert_shards.query,
         "op2_bpe": bpe.query,
         "op3_mix_sources": mix_sources.query,
+        "op4_unit_dedup": unit_dedup.query,
+        "op5_line_dedup": line_dedup.query,
         "op7_token_files": token_files.query,
+        "op8_embedding_dedup": embedding_dedup.query,
         "op9_simhash": simhash.query,
     }
 

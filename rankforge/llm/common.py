@@ -30,7 +30,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, key: str, count: str, hot_share: int = 1000) -> DataFrame:
+def lookup_join(rows: DataFrame, table: DataFrame, key: str | list[str], count: str, hot_share: int = 1000) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key), safe when one
     key holds a third of all rows.
 
@@ -40,12 +40,13 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, count: str, hot_sha
     other keys are joined by a shuffle in which no key has more than that share.
     ``rows`` is read twice: hand over a stored table.
     """
+    key = [key] if isinstance(key, str) else key
     total = table.agg(F.sum(count)).first()[0] or 0
     floor = max(1000, -(-total // hot_share))
     hot = F.broadcast(table.filter(F.col(count) >= floor))
     cold = table.filter(F.col(count) < floor)
     return rows.join(hot, key).unionByName(
-        rows.join(F.broadcast(table.filter(F.col(count) >= floor).select(key)), key, "left_anti").join(cold, key))
+        rows.join(F.broadcast(table.filter(F.col(count) >= floor).select(*key)), key, "left_anti").join(cold, key))
 
 
 def block_rows(df: DataFrame, key: list[str], row_id: str, block: int = 1024) -> DataFrame:
