@@ -35,7 +35,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import read
+from rankforge.llm.common import map_arrow, read
 from rankforge.llm.runs import RunMemo, ship
 
 #: Words of more parts than this are merged with a heap.
@@ -276,7 +276,7 @@ def tokenize(docs: DataFrame, vocabulary: str, ids: bool = False) -> DataFrame:
                 cols.append(pa.array(own, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(cols)])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")), run, schema)
 
 
 def default_vocabulary() -> str:

@@ -3,7 +3,10 @@ skew-proof lookup join, blocked bucket self-joins and connected components."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,26 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per session: functions that
+    run there are found by import, wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rankforge_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="rankforge-code-")) / "rankforge_code.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(target))
+    sc._rankforge_shipped = True
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    ship_code(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def lookup_join(rows: DataFrame, table: DataFrame, key: str | list[str], count: str, hot_share: int = 1000) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key), safe when one
     key holds a third of all rows.
@@ -106,7 +129,7 @@ def scan_groups(df: DataFrame, key: list[str], kernel: Callable[[dict[str, np.nd
         if rest is not None and rest.num_rows:
             yield from out(rest, np.zeros(rest.num_rows, dtype=np.int64))
 
-    return dealt.mapInArrow(run, schema)
+    return map_arrow(dealt, run, schema)
 
 
 def pair_steps(gid: np.ndarray, block: np.ndarray | None, i: np.ndarray | None, k: np.ndarray | None,
@@ -154,34 +177,40 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternates two star operations, as published for map-reduce connected
     components: link every larger neighbour, then every smaller one, to the
-    smallest neighbour.  Each is a grouped minimum and a join back, so no
-    group is ever collected; a node with a third of all edges is one partial
-    aggregate and a join that adaptive execution splits.  Every round is written to the
-    shared checkpoint folder.
+    smallest neighbour, until the graph is stars.  Each is a grouped minimum and
+    a join back, so no group is ever collected; a node with a third of all
+    edges is one partial aggregate and a join that adaptive execution splits.
+    Every round is written to the shared checkpoint folder.
     """
     def minimum(e: DataFrame) -> DataFrame:
         return e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
 
-    def digest(e: DataFrame) -> tuple:
-        r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return r[0], r[1]
-
+    def state(e: DataFrame) -> tuple[int, int]:
+        """Nodes that break a star, and edges."""
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            e.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        bad = F.sum(F.expr("if(up > 1 or (up > 0 and down > 0), 1, 0)"))
+        r = sums.coalesce(tasks).agg(bad, F.sum("up")).first()
+        return r[0] or 0, r[1] or 0
+
+    # the graph shrinks round by round: a task for so many edges, not one for every shuffle partition
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = most
     e = shared_table(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                      .distinct(), "components")
-    last = digest(e)
     for _ in range(rounds):
-        if not last[0]:
+        bad, n = state(e)
+        tasks = max(8, min(most, n // 50_000))
+        if not bad:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(minimum(both), "u").filter("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
-        small = large.join(minimum(large), "u")
-        e = shared_table(small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-                         .unionByName(small.select("u", F.col("m").alias("v")).filter("u <> v")).distinct(), "components")
-        now = digest(e)
-        if now == last:
-            break
-        last = now
+        large = (both.join(minimum(both), "u").coalesce(tasks).filter("v > u and v <> m")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(minimum(large), "u").coalesce(tasks)
+        star = F.explode(F.array(F.struct(F.col("u"), F.col("m")), F.struct(F.col("v").alias("u"), F.col("m"))))
+        e = shared_table(small.select(star.alias("s")).select("s.u", F.col("s.m").alias("v")).filter("u <> v").distinct()
+                         .coalesce(tasks), "components")
     else:
         raise RuntimeError("connected components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

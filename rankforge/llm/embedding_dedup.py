@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import (block_rows, connected_components, lookup_join, merge_labels, pair_steps, read,
-                                  scan_groups, shared_table)
+from rankforge.llm.common import (block_rows, connected_components, lookup_join, map_arrow, merge_labels, pair_steps,
+                                  read, scan_groups, shared_table)
 
 TABLES, SIGNS, SEED = 24, 14, 20240607
 
@@ -75,7 +75,7 @@ def packed(vectors: DataFrame, tables: int, signs: int) -> DataFrame:
 
     # lists of floats become lists of doubles here; their values stay the same
     cols = [F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast("array<double>")]
-    return vectors.select(*cols).mapInArrow(run, "vec_id long, label long, vector binary, codes binary, length int")
+    return map_arrow(vectors.select(*cols), run, "vec_id long, label long, vector binary, codes binary, length int")
 
 
 def bucket_links(classes: DataFrame, least: float, tables: int) -> DataFrame:

@@ -37,8 +37,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import (block_rows, connected_components, lookup_join, merge_labels, pair_steps, read,
-                                  scan_groups, shared_table)
+from rankforge.llm.common import (block_rows, connected_components, lookup_join, map_arrow, merge_labels, pair_steps,
+                                  read, scan_groups, shared_table)
 
 BITS = 64
 #: Over so many distinct fingerprints three segments make the key.
@@ -73,8 +73,8 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
             fp = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), batch.column(2)], ["doc_id", "fp", "digest"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), F.xxhash64("text").alias("digest"))
-            .mapInArrow(run, "doc_id long, fp long, digest long"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), F.xxhash64("text").alias("digest"))
+    return map_arrow(rows, run, "doc_id long, fp long, digest long")
 
 
 def _segments(n: int, bits: int = BITS) -> list[tuple[int, int]]:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.llm.common import map_arrow
+
 #: A document is its doc_id and its text's digest; rows that share both are one document given more than once.
 KEY = ["_no_id", "_id", "_digest"]
 
@@ -40,8 +42,8 @@ def pieces(docs: DataFrame, cut: Callable[[bytes], tuple[list[bytes], list[int],
                     [*keys, pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
                      pa.array(sizes, pa.int32())], [*KEY, "d1", "d2", "start", "end", "n"])
 
-    return docs.select(*key_columns(), F.col("text").cast("binary")).mapInArrow(
-        run, "_no_id boolean, _id long, _digest long, d1 long, d2 long, start int, end int, n int")
+    return map_arrow(
+        docs.select(*key_columns(), F.col("text").cast("binary")), run, "_no_id boolean, _id long, _digest long, d1 long, d2 long, start int, end int, n int")
 
 
 def removed_spans(found: DataFrame, least: int) -> DataFrame:
@@ -69,8 +71,7 @@ def removed_spans(found: DataFrame, least: int) -> DataFrame:
                                              [*KEY, "removed", "kept"])
 
     spans = "array<struct<start:int,end:int>>"
-    return (found.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end", "n")).alias("s"))
-            .mapInArrow(run, f"_no_id boolean, _id long, _digest long, removed {spans}, kept {spans}"))
+    return map_arrow(found.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end", "n")).alias("s")), run, f"_no_id boolean, _id long, _digest long, removed {spans}, kept {spans}")
 
 
 def without_spans(docs: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import read, shared_table
+from rankforge.llm.common import map_arrow, read, shared_table
 from rankforge.llm.runs import RunMemo, ship
 from rankforge.session import checkpoint_dir, scratch_path
 
@@ -188,10 +188,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
         if ids:
             yield close()
 
-    coded = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        encode, "part int, doc_id long, ids binary, width int")
-    (coded.repartitionById(int(ranges), "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "ids")
-     .mapInArrow(files, "part int, piece int, tokens long, content binary")
+    coded = map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")), encode,
+                      "part int, doc_id long, ids binary, width int")
+    ordered = coded.repartitionById(int(ranges), "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "ids")
+    (map_arrow(ordered, files, "part int, piece int, tokens long, content binary")
      .withColumn("content", F.col("content").cast("string"))
      .write.partitionBy("part", "piece", "tokens").text(path))
 
@@ -223,8 +223,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.int64())],
                     ["part", "piece", "doc_id", "_at", "n_tokens", "ids_crc32"])
 
-    rows = stored.select("part", "piece", "content").mapInArrow(
-        documents, "part int, piece int, doc_id long, _at long, n_tokens long, ids_crc32 long")
+    rows = map_arrow(
+        stored.select("part", "piece", "content"), documents, "part int, piece int, doc_id long, _at long, n_tokens long, ids_crc32 long")
     return rows.join(firsts, ["part", "piece"]).select("doc_id", (F.col("_first") + F.col("_at")).alias("start"), "n_tokens", "ids_crc32")
 
 
