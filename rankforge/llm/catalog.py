@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankforge.llm import bpe, embedding_dedup, hilbert_shards, line_dedup, mix_sources, simhash, token_files, unit_dedup
+from rankforge.llm import (ann_search, bpe, embedding_dedup, hilbert_shards, line_dedup, mix_sources, quality, simhash,
+                           token_files, unit_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,9 +17,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mix_sources": mix_sources.query,
         "op4_unit_dedup": unit_dedup.query,
         "op5_line_dedup": line_dedup.query,
+        "op6_quality": quality.query,
         "op7_token_files": token_files.query,
         "op8_embedding_dedup": embedding_dedup.query,
         "op9_simhash": simhash.query,
+        "op10_ann_search": ann_search.query,
     }
 
 
