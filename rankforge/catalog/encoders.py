@@ -109,15 +109,10 @@ def q_e9(spark, sf):
     return round_doubles(oof_map(spark, sf).select("col", "level", "fold", "freq"))
 
 
-_ROW_COLS = ["gender_stress_level", "stress_level_academic_work_impact"]
-_E9_ROWS_SQL = _E8_BASE + f"""
-SELECT r.id, r.fold,
-  round(m1.te, 6) AS gender_stress_level_te, round(m1.freq, 6) AS gender_stress_level_freq,
-  round(m2.te, 6) AS stress_level_academic_work_impact_te, round(m2.freq, 6) AS stress_level_academic_work_impact_freq
-FROM lvf r
-LEFT JOIN m m1 ON m1.col = 'gender_stress_level' AND m1.level = r.gender_stress_level AND m1.fold = r.fold
-LEFT JOIN m m2 ON m2.col = 'stress_level_academic_work_impact' AND m2.level = r.stress_level_academic_work_impact
-                AND m2.fold = r.fold"""
+_ROW_COLS = LEVEL_COLS
+_E9_ROWS_SQL = _E8_BASE + "SELECT r.id, r.fold, " + ", ".join(
+    f"round(m{i}.te, 6) AS {c}_te, round(m{i}.freq, 6) AS {c}_freq" for i, c in enumerate(_ROW_COLS)) + " FROM lvf r " + " ".join(
+    f"LEFT JOIN m m{i} ON m{i}.col = '{c}' AND m{i}.level = r.{c} AND m{i}.fold = r.fold" for i, c in enumerate(_ROW_COLS))
 
 
 @register("e8_oof_encoded_rows", with_fixture(_E9_ROWS_SQL, scores=True))
@@ -327,7 +322,7 @@ SELECT s.id, round(jm.freq, 6) AS joint_profile_freq FROM sx s LEFT JOIN jm ON j
                                                 scores=True))
 def q_g5(spark, sf):
     view, fmap, total = _joint_map(spark, sf)
-    out = EN.apply_frequency(view.select("id", *CATS), fmap, EN.joint_profile_key(), "joint_profile_freq", total)
+    out = EN.apply_frequency(view.select("id", *CATS), fmap, EN.joint_profile_key(), "joint_profile_freq")
     return round_doubles(out.select("id", "joint_profile_freq"))
 
 
@@ -338,7 +333,7 @@ FROM (SELECT * FROM sx WHERE split = 'test') s LEFT JOIN jm ON jm.k = {_JOINT.re
 def q_j1(spark, sf):
     view, fmap, total = _joint_map(spark, sf)
     test = view.where(F.col("split") == "test").select("id", *CATS)
-    out = EN.apply_frequency(test, fmap, EN.joint_profile_key(), "joint_profile_freq", total)
+    out = EN.apply_frequency(test, fmap, EN.joint_profile_key(), "joint_profile_freq")
     return round_doubles(out.select("id", F.coalesce("joint_profile_freq", F.lit(0.0)).alias("joint_profile_freq")))
 
 
@@ -352,7 +347,7 @@ def q_g14(spark, sf):
     tr = view.where((F.col("split") == "train") & F.col(SP.SCR).isNotNull())
     fmap, total = EN.frequency_map(tr, F.col(SP.SCR), "v")
     test = view.where(F.col("split") == "test").select("id", SP.SCR)
-    out = EN.apply_frequency(test, fmap, F.col(SP.SCR), f"{SP.SCR}_freq", total)
+    out = EN.apply_frequency(test, fmap, F.col(SP.SCR), f"{SP.SCR}_freq")
     return round_doubles(out.select("id", f"{SP.SCR}_freq"))
 
 

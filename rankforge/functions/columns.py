@@ -17,8 +17,8 @@ def lit(x: float) -> Column:
 
 
 def safe_ratio(a, b, eps: float) -> Column:
-    """``a / (b + eps)`` — the eps-guarded ratio of the feature preset."""
-    return c(a) / (c(b) + lit(eps))
+    """``a / (b + eps)`` — the eps-guarded ratio of the feature preset; NULL where b = -eps."""
+    return F.try_divide(c(a), c(b) + lit(eps))
 
 
 def strict_ratio(a, b) -> Column:
@@ -53,11 +53,6 @@ def null_count(cols) -> Column:
     return reduce(lambda x, y: x + y, [c(x).isNull().cast("int") for x in cols])
 
 
-def decay(x, scale: float) -> Column:
-    """Exponential damping ``exp(-x / scale)``."""
-    return F.exp(-c(x) / lit(scale))
-
-
 def sigmoid(x) -> Column:
     return lit(1) / (lit(1) + F.exp(-c(x)))
 
@@ -73,17 +68,18 @@ def clip(x, lo: float, hi: float) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, lit(lo)), lit(hi)))
 
 
+def bounded(x, lo: float, hi: float) -> Column:
+    """``clip`` of a double that keeps NaN as well (Spark orders NaN above every number)."""
+    x = c(x)
+    return F.when(F.isnan(x), x).otherwise(clip(x, lo, hi))
+
+
 def floor_at(x, lo: float) -> Column:
     """``np.maximum(lo, x)`` with NULL propagation."""
     x = c(x)
     return F.when(x.isNotNull(), F.greatest(x, lit(lo)))
 
 
-def stable_hash_hex(key, seed: int | str) -> Column:
-    """md5(seed ':' key) as lower-case hex; identical in DuckDB (trap T5)."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), c(key).cast("string")))
-
-
 def rnd(x, digits: int = 6) -> Column:
     """Half-up rounding written as ``floor(x * 10^d + 0.5) / 10^d``.
 

@@ -12,14 +12,14 @@ of the training part of each fold (SURVEY 4.4).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.joins import null_safe_join
 from rankforge.operators.rank import attach_by_value, prefix_sums, quantile_splits, value_table
 from rankforge.schema import (CATEGORICAL_COLUMNS, LABEL_MISSING, MODE_MISSING, TE_MISSING,
                               TE_PAIRS, TE_SMOOTHING)
-from rankforge.session import default_buckets
+from rankforge.session import cut_lineage, default_buckets
 
 
 # ---------------------------------------------------------------------------------
@@ -93,60 +93,61 @@ def oof_encoding_map(df: DataFrame, level_cols: list[str], label: str, fold_col:
 
 
 def apply_oof_encoding(rows: DataFrame, enc_map: DataFrame, level_exprs: dict[str, Column],
-                       fold_col: str = "fold", total: int | None = None,
-                       max_hot: int = 10000) -> DataFrame:
-    """Attach ``{col}_te`` / ``{col}_freq`` for each level column, keyed by (level, fold)."""
+                       fold_col: str = "fold", max_hot: int = 10000) -> DataFrame:
+    """Attach ``{col}_te`` / ``{col}_freq`` for each level column, keyed by (level, fold).
+
+    The map is stored first: its sizes and every column read it once more.
+    """
+    enc_map = cut_lineage(enc_map)
     stats = map_stats(enc_map)
     out = rows
     for name, expr in level_exprs.items():
         lvl = f"_lvl_{name}"
         out = out.withColumn(lvl, expr)
         m = (enc_map.where(F.col("col") == name)
-             .select(F.col("level").alias(lvl), fold_col, "n",
+             .select(F.col("level").alias(lvl), fold_col,
                      F.col("te").alias(f"{name}_te"), F.col("freq").alias(f"{name}_freq")))
-        map_rows, map_total, _ = stats.get(name, (0, 0, None))
         out = attach_map(out, m, [lvl, fold_col], [f"{name}_te", f"{name}_freq"],
-                         total if total is not None else map_total, map_rows, max_hot).drop(lvl)
+                         stats.get(name, (0, None))[0], max_hot).drop(lvl)
     return out
 
 
 def map_stats(enc_map: DataFrame) -> dict:
-    """col -> (map rows, sum of n, global mean) in ONE small job over the encoder map."""
-    aggs = [F.count(F.lit(1)).alias("rows"), F.sum("n").alias("N")]
+    """col -> (map rows, global mean) in ONE small job over the encoder map."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
     has_gm = "global_mean" in enc_map.columns
     if has_gm:
         aggs.append(F.first("global_mean").alias("gm"))
-    return {r["col"]: (int(r["rows"]), int(r["N"] or 0), r["gm"] if has_gm else None)
+    return {r["col"]: (int(r["rows"]), r["gm"] if has_gm else None)
             for r in enc_map.groupBy("col").agg(*aggs).collect()}        # one row per level column
 
 
-def attach_map(rows: DataFrame, m: DataFrame, keys: list[str], payload: list[str], total: int,
-               map_rows: int, max_hot: int = 10000) -> DataFrame:
+def attach_map(rows: DataFrame, m: DataFrame, keys: list[str], payload: list[str], map_rows: int,
+               max_hot: int = 10000) -> DataFrame:
     """Attach an encoder map: a plain broadcast left join when its counted size is
     within ``max_hot`` rows (a proven bound), else the skew-safe hot/cold join."""
     if map_rows <= max_hot:
-        return rows.join(F.broadcast(m.drop("n")), keys, "left")
-    return attach_by_value(rows, m, keys, payload, total, "n", max_hot)
+        return null_safe_join(rows, m, keys, "left", broadcast=True)
+    return attach_by_value(rows, m, keys, payload, max_hot)
 
 
 # ---------------------------------------------------------------------------------
 # Frozen map transform with defaults for unseen levels
 # ---------------------------------------------------------------------------------
 def apply_frozen_encoding(rows: DataFrame, enc_map: DataFrame, level_exprs: dict[str, Column],
-                          total: int | None = None, max_hot: int = 10000) -> DataFrame:
-    """Unseen level -> global mean (te) / 0.0 (freq)."""
+                          max_hot: int = 10000) -> DataFrame:
+    """Unseen level -> global mean (te) / 0.0 (freq).  The map is stored first."""
+    enc_map = cut_lineage(enc_map)
     stats = map_stats(enc_map)
-    gm = {k: v[2] for k, v in stats.items()}
+    gm = {k: v[1] for k, v in stats.items()}
     out = rows
     for name, expr in level_exprs.items():
         lvl = f"_lvl_{name}"
         out = out.withColumn(lvl, expr)
         m = (enc_map.where(F.col("col") == name)
-             .select(F.col("level").alias(lvl), "n",
+             .select(F.col("level").alias(lvl),
                      F.col("te").alias(f"{name}_te"), F.col("freq").alias(f"{name}_freq")))
-        map_rows, map_total, _ = stats.get(name, (0, 0, None))
-        out = attach_map(out, m, [lvl], [f"{name}_te", f"{name}_freq"],
-                         total if total is not None else map_total, map_rows, max_hot)
+        out = attach_map(out, m, [lvl], [f"{name}_te", f"{name}_freq"], stats.get(name, (0, None))[0], max_hot)
         out = out.withColumns({
             f"{name}_te": F.coalesce(F.col(f"{name}_te"), F.lit(gm.get(name))),
             f"{name}_freq": F.coalesce(F.col(f"{name}_freq"), F.lit(0.0)),
@@ -218,14 +219,27 @@ def label_code_map(train: DataFrame, apply: DataFrame, cols: list[str],
                                     for c in cols]), cols, []).distinct()
     ap = stack_levels(apply.select([F.coalesce(F.col(c).cast("string"), F.lit(token)).alias(c)
                                     for c in cols]), cols, []).distinct()
-    unseen = ap.join(tr, ["col", "level"], "left_anti")           # J3
-    w = Window.partitionBy("col").orderBy("level")                 # levels of one column
-    seen_codes = tr.withColumn("code", F.row_number().over(w) - 1).withColumn("seen", F.lit(True))
-    n_cls = tr.groupBy("col").agg(F.count(F.lit(1)).alias("_n"))
-    new_codes = (unseen.join(F.broadcast(n_cls), ["col"], "left")
-                 .withColumn("code", F.coalesce(F.col("_n"), F.lit(0)) + F.row_number().over(w) - 1)
-                 .withColumn("seen", F.lit(False)).drop("_n"))
-    return seen_codes.unionByName(new_codes).withColumn("code", F.col("code").cast("int"))
+    # The levels of ``apply`` alone get their numbers behind all of ``train``
+    unseen = ap.join(tr, ["col", "level"], "left_anti")
+    return number_levels(tr.withColumn("seen", F.lit(True)).unionByName(unseen.withColumn("seen", F.lit(False))))
+
+
+def number_levels(levels: DataFrame) -> DataFrame:
+    """(col, level, seen) -> plus ``code``: place of the level in its column, seen ones first.
+
+    No task numbers a whole vocabulary: the levels are dealt out by range and
+    stored, the ranges' counts (|cols| x partitions rows) give offsets, and rows
+    are numbered within their range.
+    """
+    dealt = cut_lineage(levels.repartitionByRange("col", F.col("seen").desc(), "level")
+                        .withColumn("_p", F.spark_partition_id()))
+    counts = dealt.groupBy("col", "_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("col").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("col", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    own = Window.partitionBy("col", "_p").orderBy(F.col("seen").desc(), "level")
+    return (dealt.join(F.broadcast(offsets), ["col", "_p"])
+            .withColumn("code", (F.col("_off") + F.row_number().over(own) - 1).cast("int"))
+            .select("col", "level", "code", "seen"))
 
 
 def unseen_levels(train: DataFrame, apply: DataFrame, cols: list[str],
@@ -239,20 +253,24 @@ def unseen_levels(train: DataFrame, apply: DataFrame, cols: list[str],
 
 
 def apply_codes(rows: DataFrame, code_map: DataFrame, cols: list[str], token: str | None,
-                unknown: int | None = None, max_broadcast: int = 100000) -> DataFrame:
-    """Replace each categorical with its code (E3), unseen -> ``unknown`` (E4: -1)."""
+                unknown: int | None = None, max_bytes: int = 8 << 20) -> DataFrame:
+    """Replace each categorical with its code (E3), unseen -> ``unknown`` (E4: -1).
+
+    A column's vocabulary is broadcast if its strings and codes have at most
+    ``max_bytes``, else joined skew-safe.
+    """
+    code_map = cut_lineage(code_map)
     out = rows
-    sizes = {r["col"]: int(r["rows"]) for r in
-             code_map.groupBy("col").agg(F.count(F.lit(1)).alias("rows")).collect()}   # one per column
+    sizes = {r["col"]: int(r["size"]) for r in code_map.groupBy("col").agg(
+        F.sum(F.octet_length("level") + 16).alias("size")).collect()}   # one per column
     for c in cols:
         m = code_map.where(F.col("col") == c).select(F.col("level").alias(f"_lv_{c}"),
                                                      F.col("code").alias(f"_code_{c}"))
         key = F.col(c).cast("string") if token is None else F.coalesce(F.col(c).cast("string"), F.lit(token))
-        # one row per class: broadcast only behind the counted vocabulary size
-        right = F.broadcast(m) if sizes.get(c, 0) <= max_broadcast else m
-        out = (out.withColumn(f"_lv_{c}", key)
-                  .join(right, [f"_lv_{c}"], "left")
-                  .withColumn(c, F.col(f"_code_{c}") if unknown is None
+        out = out.withColumn(f"_lv_{c}", key)
+        out = (null_safe_join(out, m, [f"_lv_{c}"], "left", broadcast=True) if sizes.get(c, 0) <= max_bytes
+               else attach_by_value(out, m, [f"_lv_{c}"], [f"_code_{c}"]))
+        out = (out.withColumn(c, F.col(f"_code_{c}") if unknown is None
                               else F.coalesce(F.col(f"_code_{c}"), F.lit(unknown)))
                   .drop(f"_lv_{c}", f"_code_{c}"))
     return out
@@ -261,12 +279,11 @@ def apply_codes(rows: DataFrame, code_map: DataFrame, cols: list[str], token: st
 def ordinal_code_map(train: DataFrame, cols: list[str]) -> DataFrame:
     """Sorted training categories -> 0..n-1 (apply with ``unknown=-1``)."""
     tr = stack_levels(train, cols, []).where(F.col("level").isNotNull()).distinct()
-    w = Window.partitionBy("col").orderBy("level")
-    return tr.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    return number_levels(tr.withColumn("seen", F.lit(True))).drop("seen")
 
 
 # ---------------------------------------------------------------------------------
-# Standardise after zero fill (population std);  E12: StringIndexer
+# Standardise after zero fill (population std);  E12: category index
 # ---------------------------------------------------------------------------------
 def standardize(train: DataFrame, apply_to: list[DataFrame], cols: list[str]) -> list[DataFrame]:
     z = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
@@ -278,10 +295,17 @@ def standardize(train: DataFrame, apply_to: list[DataFrame], cols: list[str]) ->
 
 
 def category_index(train: DataFrame, apply: DataFrame, cols: list[str]) -> DataFrame:
-    """Alphabetical category codes; unseen and NULL -> n_levels (handleInvalid=keep)."""
-    idx = StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
-    return idx.transform(apply)
+    """Alphabetical category codes ``{col}_idx``; unseen and NULL -> number of levels.
+
+    Spark ML's StringIndexer would bring every level to the driver; here only
+    the number of levels of each column does.
+    """
+    codes = cut_lineage(ordinal_code_map(train, cols))
+    n = {r["col"]: int(r["n"]) for r in codes.groupBy("col").agg(F.count(F.lit(1)).alias("n")).collect()}
+    idx = {c: f"{c}_idx" for c in cols}
+    out = apply.withColumns({i: F.col(c).cast("string") for c, i in idx.items()})
+    out = apply_codes(out, codes.replace(idx, subset=["col"]), list(idx.values()), token=None)
+    return out.withColumns({i: F.coalesce(F.col(i), F.lit(n.get(c, 0))).cast("double") for c, i in idx.items()})
 
 
 # ---------------------------------------------------------------------------------
@@ -300,11 +324,11 @@ def frequency_map(train: DataFrame, key: Column, name: str = "key") -> tuple[Dat
 
 
 def apply_frequency(rows: DataFrame, fmap: DataFrame, key: Column, out: str,
-                    total: int, max_hot: int = 10000) -> DataFrame:
+                    max_hot: int = 10000) -> DataFrame:
     """Attach a fitted frequency (unseen -> NULL)."""
     k = f"_fk_{out}"
-    m = fmap.select(F.col(fmap.columns[0]).alias(k), "n", F.col("freq").alias(out))
-    return attach_by_value(rows.withColumn(k, key), m, [k], [out], total, "n", max_hot).drop(k)
+    m = fmap.select(F.col(fmap.columns[0]).alias(k), F.col("freq").alias(out))
+    return attach_by_value(rows.withColumn(k, key), m, [k], [out], max_hot).drop(k)
 
 
 def null_safe_key(cols: list[str]) -> Column:
@@ -323,9 +347,6 @@ def cohort_residual(df: DataFrame, value: str, by: list[str], out: str | None =
     """
     out = out or f"{value}_cohort_resid"
     k = "_cohort_key"
-    means = (df.groupBy(*by).agg(F.avg(value).alias("_cm"), F.count(F.lit(1)).alias("n"))
-               .withColumn(k, null_safe_key(by)))
-    total = df.count()
-    j = attach_by_value(df.withColumn(k, null_safe_key(by)), means.select(k, "n", "_cm"),
-                        [k], ["_cm"], total, "n", max_hot)
+    means = df.groupBy(*by).agg(F.avg(value).alias("_cm")).withColumn(k, null_safe_key(by))
+    j = attach_by_value(df.withColumn(k, null_safe_key(by)), means.select(k, "_cm"), [k], ["_cm"], max_hot)
     return j.withColumn(out, F.col(value) - F.col("_cm")).drop(k, "_cm")

@@ -48,11 +48,11 @@ def behaviour_features(df: DataFrame, eps: float = FEATURE_EPS) -> dict[str, Col
         "screen_to_sleep_ratio": safe_ratio(scr, slp, eps),
         "notifications_per_hour": safe_ratio(ntf, scr, eps),
         "app_opens_per_hour": safe_ratio(app, scr, eps),
-        "compulsive_pull_ratio": app / (ntf + lit(1.0)),
+        "compulsive_pull_ratio": div_or_null(app, ntf + lit(1.0)),
         "weekend_screen_time_ratio": safe_ratio(wkd, scr, eps),
         "sleep_deficit": lit(8.0) - slp,
         "productive_work_ratio": safe_ratio(wrk, scr, eps),
-        "work_adjusted_screen_load": (scr - F.coalesce(wrk, lit(0.0))) / (slp + lit(eps)),
+        "work_adjusted_screen_load": div_or_null(scr - F.coalesce(wrk, lit(0.0)), slp + lit(eps)),
         "work_shield_factor": safe_ratio(wrk, scr, eps) * F.exp(-(soc + gam) / lit(2.0)),
         "missing_features_count": null_count([F.col(c) for c in present]),
     }
@@ -79,24 +79,24 @@ def vault_features(df: DataFrame, eps: float = FEATURE_EPS) -> dict[str, Column]
                .when(stress == "High", lit(STRESS_ORDINAL["High"]))
     return {
         # G1
-        "compulsive_checking_velocity": (ntf / (app + lit(1.0))) * div_or_null(scr, lit(24.0) - slp),
+        "compulsive_checking_velocity": div_or_null(ntf, app + lit(1.0)) * div_or_null(scr, lit(24.0) - slp),
         # G2
-        "circadian_dopamine_strain": floor_at(lit(8.0) - slp, 0.0)
-                                      * F.pow(leisure, lit(1.5)) / (slp + lit(1.0)),
+        "circadian_dopamine_strain": div_or_null(floor_at(lit(8.0) - slp, 0.0)
+                                                 * F.pow(leisure, lit(1.5)), slp + lit(1.0)),
         # G3, G4
         "synthetic_budget_deficit": (soc + gam + wrk) - scr,
         "synthetic_budget_violation": ((soc + gam + wrk) > scr).cast("int"),
         # G6
-        "B_ISAT": (app / (scr + lit(1e-6))) / (ntf + lit(1e-6)),
+        "B_ISAT": div_or_null(div_or_null(app, scr + lit(1e-6)), ntf + lit(1e-6)),
         # G7
         "H_AF": entropy,
         # G8
-        "CDUR": ((soc + gam) / (wrk + lit(1e-6))) * (lit(24.0) / (slp + lit(1e-6))),
+        "CDUR": div_or_null(soc + gam, wrk + lit(1e-6)) * div_or_null(lit(24.0), slp + lit(1e-6)),
         # G9
-        "dopamine_chasing_index": F.log1p(app / (ntf + lit(1.0))) * sigmoid(soc + gam - lit(3.0)),
+        "dopamine_chasing_index": F.log1p(div_or_null(app, ntf + lit(1.0))) * sigmoid(soc + gam - lit(3.0)),
         # G10
         "compulsive_checking_density": div_or_null(app + ntf, lit(24.0) - slp)
-                                        * (lit(1.0) / (scr + lit(1e-6))),
+                                        * div_or_null(lit(1.0), scr + lit(1e-6)),
         # G12
         "sigmoid_inflection_6h": lit(1.0) / (lit(1.0) + F.exp(lit(-3.0) * (scr - lit(6.25)))),
         "sigmoid_inflection_8h": lit(1.0) / (lit(1.0) + F.exp(lit(-4.0) * (scr - lit(8.0)))),
@@ -111,7 +111,7 @@ def vault_features(df: DataFrame, eps: float = FEATURE_EPS) -> dict[str, Column]
         "screen_x_social": scr * soc,
         "screen_per_awake_budget": div_or_null(scr, lit(24.0) - slp),
         # G17
-        "WESI": ((wkd - scr) / (scr + lit(eps))) * ordinal,
+        "WESI": div_or_null(wkd - scr, scr + lit(eps)) * ordinal,
         "sleep_displacement": lit(24.0) - slp - wrk,
         # G19
         "strict_social_to_screen": strict_ratio(soc, scr),

@@ -9,35 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.rank import Splits, prefix_sums, quantile_splits, value_table
+from rankforge.functions.columns import bounded
+from rankforge.operators.joins import null_safe_join
+from rankforge.operators.rank import prefix_sums, quantile_splits, value_table
 from rankforge.schema import LOGLOSS_CLIP
-from rankforge.session import default_buckets
+from rankforge.session import cut_lineage, default_buckets
 
 
-def auc_by(df: DataFrame, score: str, label: str, strata=(), n_buckets: int | None = None,
-           small_domain: bool = False) -> DataFrame:
+def auc_by(df: DataFrame, score: str, label: str, strata=(), n_buckets: int | None = None) -> DataFrame:
     """Q1/Q2: ROC AUC with ties = 1/2, per stratum (rank-sum / Mann-Whitney form).
 
+    Rows without a score or a label do not count; a stratum with one class only
+    has a NULL AUC.
+    """
+    return auc_of_values(value_table(df.where(F.col(label).isNotNull()), score, strata, label), score, strata, n_buckets)
+
+
+def auc_of_values(table: DataFrame, score: str, strata=(), n_buckets: int | None = None) -> DataFrame:
+    """AUC from a value table: one row per (strata, score) with ``n`` rows, ``npos`` of them positive.
+
     AUC = sum_v npos_v * (neg_below_v + nneg_v / 2) / (P * Nn).  The numerator is
     kept as ``2 * ...`` in integer-valued doubles so both engines agree exactly.
-    ``small_domain=True`` is for callers that have counted the distinct scores
-    per stratum (e.g. encoder values, levels x folds): the quantile job is
-    skipped and one running-sum window per stratum covers that bounded table.
+    The table is stored: its quantiles and its sums each read it.
     """
     strata = list(strata)
-    t = value_table(df, score, strata, label).withColumn("nneg", F.col("n") - F.col("npos"))
-    splits = Splits([], 0) if small_domain else \
-        quantile_splits(t, score, n_buckets or default_buckets(df.sparkSession))
+    t = cut_lineage(table.withColumn("nneg", F.col("n") - F.col("npos")))
+    splits = quantile_splits(t, score, n_buckets or default_buckets(table.sparkSession))
     t = prefix_sums(t, score, strata, ["nneg"], splits)
     num = F.col("npos").cast("double") * (F.lit(2.0) * F.col("before_nneg") + F.col("nneg"))
-    agg = t.groupBy(*strata).agg(
-        F.sum(num).alias("_num"),
-        F.sum("npos").alias("n_pos"),
-        F.sum("nneg").alias("n_neg"))
+    agg = t.groupBy(*strata).agg(F.sum(num).alias("_num"), F.sum("npos").alias("n_pos"), F.sum("nneg").alias("n_neg"))
     return agg.select(
         *strata,
-        (F.col("_num") / (F.lit(2.0) * F.col("n_pos").cast("double") * F.col("n_neg").cast("double")))
-        .alias("auc"),
+        F.try_divide(F.col("_num"), F.lit(2.0) * F.col("n_pos").cast("double") * F.col("n_neg").cast("double")).alias("auc"),
         F.col("n_pos").cast("long").alias("n_pos"),
         F.col("n_neg").cast("long").alias("n_neg"))
 
@@ -64,8 +67,8 @@ def mean_fold_auc(fold_auc: DataFrame, group=()) -> DataFrame:
 
 
 def log_loss(df: DataFrame, score: str, label: str, strata=(), clip: float = LOGLOSS_CLIP) -> DataFrame:
-    """Q3: mean binary cross-entropy with p clipped to [clip, 1-clip]."""
-    p = F.least(F.greatest(F.col(score), F.lit(clip)), F.lit(1.0 - clip))
+    """Q3: mean binary cross-entropy with p clipped to [clip, 1-clip]; rows without a score or a label do not count."""
+    p = bounded(score, clip, 1.0 - clip)
     y = F.col(label).cast("double")
     loss = -(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))
     return df.where(F.col(score).isNotNull()).groupBy(*strata).agg(F.avg(loss).alias("log_loss"))
@@ -75,22 +78,23 @@ def ks_2samp(df: DataFrame, value: str, is_b: str, strata=(), n_buckets: int | N
     """Q4: two-sample Kolmogorov-Smirnov statistic D = max |F_A - F_B| per stratum.
 
     ``is_b`` is a 0/1 (or boolean) column marking sample B.  Evaluated at every
-    distinct value of the pooled sample via bucketed prefix sums.
+    distinct value of the pooled sample via bucketed prefix sums.  NULL if
+    either sample is empty; rows without a value or a mark do not count.
     """
     strata = list(strata)
     b = F.col(is_b).cast("long")
-    t = value_table(df, value, strata, extra_sums={"n_b": b, "n_a": F.lit(1) - b})
+    t = cut_lineage(value_table(df.where(F.col(is_b).isNotNull()), value, strata, extra_sums={"n_b": b, "n_a": F.lit(1) - b}))
     splits = quantile_splits(t, value, n_buckets or default_buckets(df.sparkSession),
                              sum_cols=("n_a", "n_b"))
     t = prefix_sums(t, value, strata, ["n_a", "n_b"], splits)
     if strata:
         tot = t.groupBy(*strata).agg(F.sum("n_a").alias("total_a"), F.sum("n_b").alias("total_b"))
-        t = t.join(F.broadcast(tot), strata, "inner")  # one row per stratum
+        t = null_safe_join(t, tot, strata, broadcast=True)  # one row per stratum
     else:
         t = t.withColumns({"total_a": F.lit(int(splits.sums["n_a"])),
                            "total_b": F.lit(int(splits.sums["n_b"]))})
-    cdf_a = (F.col("before_n_a") + F.col("n_a")) / F.col("total_a").cast("double")
-    cdf_b = (F.col("before_n_b") + F.col("n_b")) / F.col("total_b").cast("double")
+    cdf_a = F.try_divide(F.col("before_n_a") + F.col("n_a"), F.col("total_a").cast("double"))
+    cdf_b = F.try_divide(F.col("before_n_b") + F.col("n_b"), F.col("total_b").cast("double"))
     return t.groupBy(*strata).agg(
         F.max(F.abs(cdf_a - cdf_b)).alias("ks_stat"),
         F.first("total_a").cast("long").alias("n_a"),
@@ -112,6 +116,6 @@ def value_frequencies(df: DataFrame, col: str, by=()) -> DataFrame:
     """Q15: normalised value counts (per group ``by`` if given)."""
     counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
     tot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
-    j = counts.join(F.broadcast(tot), list(by), "inner") if by else \
+    j = null_safe_join(counts, tot, list(by)) if by else \
         counts.withColumn("_total", F.lit(df.count()))
     return j.select(*by, col, "n", (F.col("n") / F.col("_total")).alias("freq"))

@@ -13,8 +13,8 @@ bounded set of range buckets:
 4. inside a bucket, a ``partitionBy(strata, bucket).orderBy(v)`` running sum
    gives the count before each value.
 
-Ranks are joined back to rows by value with a hot/cold split: values whose
-count is at least N / ``max_hot`` (so at most ``max_hot`` of them) are
+Ranks are joined back to rows by value with a hot/cold split: values that at
+least N / ``max_hot`` of the rows have (so at most ``max_hot`` of them) are
 broadcast, the rest go through a regular shuffle join in which no key holds
 more than N / ``max_hot`` rows.  AUC, KS and fold assignment read the value
 table directly and never join back.
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from rankforge.functions.normal import probit
 from rankforge.schema import GAUSS_CLIP
-from rankforge.session import default_buckets
+from rankforge.operators.joins import null_safe_join
+from rankforge.session import cut_lineage, default_buckets
 
 BUCKET = "_bucket"
 
@@ -95,7 +96,7 @@ def prefix_sums(table: DataFrame, value: str, strata, sum_cols: list[str],
         F.coalesce(F.sum(c).over(w_off), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
     w_in = Window.partitionBy(*strata, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     # offsets: |strata| x B rows, bounded by construction -> broadcast
-    out = tb.join(F.broadcast(offsets), [*strata, BUCKET], "inner")
+    out = null_safe_join(tb, offsets, [*strata, BUCKET], broadcast=True)
     out = out.withColumns({
         f"before_{c}": F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(w_in), F.lit(0))
         for c in sum_cols})
@@ -124,41 +125,33 @@ def _with_totals(t: DataFrame, strata, col: str, total: int) -> DataFrame:
     if not strata:
         return t.withColumn(f"total_{col}", F.lit(int(total)))
     tot = t.groupBy(*strata).agg(F.sum(col).alias(f"total_{col}"))
-    return t.join(F.broadcast(tot), list(strata), "inner")
+    return null_safe_join(t, tot, list(strata), broadcast=True)
 
 
 def attach_by_value(rows: DataFrame, table: DataFrame, keys: list[str], payload: list[str],
-                    total: int, count_col: str = "n", max_hot: int = 10000,
-                    salts: int | None = None) -> DataFrame:
-    """Left-join ``payload`` columns of a per-value table back to rows, skew-safe.
-
-    Values with ``count >= ceil(total / max_hot)`` are 'hot': at most
-    ``max_hot`` of them exist, so they are attached by a broadcast join with a
-    proven size bound.  The remaining ('cold') values each hold fewer than
-    total / max_hot rows and are attached by one shuffle join on
-    ``(keys, _salt)``: cold rows use salt 0, while hot rows and rows with a NULL
-    key (which can never match) get a deterministic salt in 1..S so they spread
-    over S reducers instead of piling into one.  One linear plan, no union.
+                    max_hot: int = 10000) -> DataFrame:
+    """Left-join ``payload`` columns of a per-value table (one row per key) back to rows, skew-safe.
+
+    A key is hot if at least ``ceil(rows / max_hot)`` of the *rows to be joined*
+    have it, whether the table knows it or not; at most ``max_hot`` such keys
+    exist, so they are attached (with a NULL payload if unknown) by a broadcast
+    join.  The other keys have fewer rows each and go through one shuffle join.
+    NULL is a key like any other.
     """
-    threshold = max(2, math.ceil(max(total, 1) / max_hot))
-    if salts is None:
-        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = (table.where(F.col(count_col) >= threshold)
-           .select(*keys, *[F.col(p).alias(f"_h_{p}") for p in payload])
-           .withColumn("_hot", F.lit(True)))
-    cold = (table.where(F.col(count_col) < threshold)
-            .select(*keys, *[F.col(p).alias(f"_c_{p}") for p in payload])
-            .withColumn("_salt", F.lit(0)))
     base_cols = list(rows.columns)
-    tagged = rows.join(F.broadcast(hot), keys, "left")
-    no_match = F.col("_hot").isNotNull()
-    for k in keys:
-        no_match = no_match | F.col(k).isNull()
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = rows.agg(F.count(F.lit(1))).first()[0]
+    threshold = max(2, math.ceil(max(total, 1) / max_hot))
+    known = table.select(*keys, *[F.col(p).alias(f"_c_{p}") for p in payload])
+    hot = null_safe_join(counts.where(F.col("_n") >= threshold).drop("_n"), known, keys, "left")
+    hot = hot.select(*keys, *[F.col(f"_c_{p}").alias(f"_h_{p}") for p in payload], F.lit(True).alias("_hot"))
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in base_cols]), F.lit(salts)).cast("int")
-    tagged = tagged.withColumn("_salt", F.when(no_match, spread).otherwise(F.lit(0)))
-    joined = tagged.join(cold, [*keys, "_salt"], "left")
-    return joined.select(*base_cols, *[F.coalesce(F.col(f"_h_{p}"), F.col(f"_c_{p}")).alias(p)
-                                       for p in payload])
+    tagged = null_safe_join(rows, hot, keys, "left", broadcast=True)
+    tagged = tagged.withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
+    joined = null_safe_join(tagged, known.withColumn("_salt", F.lit(0)), [*keys, "_salt"], "left")
+    return joined.select(*base_cols, *[
+        F.when(F.col("_hot"), F.col(f"_h_{p}")).otherwise(F.col(f"_c_{p}")).alias(p) for p in payload])
 
 
 def with_ranks(df: DataFrame, value: str, strata=(), out_prefix: str | None = None,
@@ -168,8 +161,7 @@ def with_ranks(df: DataFrame, value: str, strata=(), out_prefix: str | None = No
     t, splits = rank_table(df, value, strata, None, n_buckets)
     prefix = out_prefix if out_prefix is not None else f"{value}_"
     payload = t.select(*strata, value, "n", *[F.col(k).alias(prefix + k) for k in kinds])
-    return attach_by_value(df, payload, [*strata, value], [prefix + k for k in kinds],
-                           splits.total, "n", max_hot)
+    return attach_by_value(df, payload, [*strata, value], [prefix + k for k in kinds], max_hot)
 
 
 def percentile_rank_columns(df: DataFrame, cols: list[str], strata=(), prefix: str = "r_",
@@ -213,14 +205,14 @@ def percentile_rank_columns(df: DataFrame, cols: list[str], strata=(), prefix: s
     tot = bt.groupBy(*key).agg(F.sum("_bn").alias("_tot"))
     w_in = Window.partitionBy(*key, BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     # offs: |cols| x |strata| x B rows; tot: |cols| x |strata| rows -> bounded broadcasts
-    t = (t.join(F.broadcast(offs), [*key, BUCKET]).join(F.broadcast(tot), key)
+    t = (null_safe_join(null_safe_join(t, offs, [*key, BUCKET], broadcast=True), tot, key, broadcast=True)
           .withColumn("avg_rank", F.col("_off") + F.coalesce(F.sum("n").over(w_in), F.lit(0))
                       + (F.col("n") + F.lit(1)) / F.lit(2.0)))
     t = t.withColumn("pct_rank", (F.col("avg_rank") - F.lit(0.5)) / F.col("_tot"))
     if kind == "gauss_rank":
         t = t.withColumn("gauss_rank", probit(F.least(F.greatest(F.col("pct_rank"), F.lit(eps)),
                                                       F.lit(1.0 - eps))))
-    t = t.select("model", *strata, "value", "n", kind).checkpoint(eager=True)
+    t = cut_lineage(t.select("model", *strata, "value", "n", kind))
     sizes = {r["model"]: int(r["rows"]) for r in
              t.groupBy("model").agg(F.count(F.lit(1)).alias("rows")).collect()}      # one row per column
     out = df
@@ -228,7 +220,7 @@ def percentile_rank_columns(df: DataFrame, cols: list[str], strata=(), prefix: s
         m = t.where(F.col("model") == c).select(*strata, F.col("value").alias(c), "n",
                                                 F.col(kind).alias(prefix + c))
         if sizes.get(c, 0) <= max_hot:
-            out = out.join(F.broadcast(m.drop("n")), [*strata, c], "left")
+            out = null_safe_join(out, m.drop("n"), [*strata, c], "left", broadcast=True)
         else:
-            out = attach_by_value(out, m, [*strata, c], [prefix + c], totals[c], "n", max_hot)
+            out = attach_by_value(out, m, [*strata, c], [prefix + c], max_hot)
     return out

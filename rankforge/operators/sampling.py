@@ -6,7 +6,8 @@ needs no quantile pass — the leading hex digits of ``h`` are uniform range
 buckets.  Per-bucket counts (|strata| x 16^d rows) give running offsets that
 are broadcast back; inside a bucket a ``row_number`` window finishes the rank.
 No task ever sees more than ~N / (|strata| x 16^d) rows and the md5 prefix
-cannot be skewed.
+cannot be skewed.  A NULL stratum is a stratum of its own: no row is lost.  A
+NULL key hashes to NULL and ranks first in its stratum.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.joins import null_safe_join
+
 _H, _HB, _RANK = "_h", "_hb", "_rank"
 
 
@@ -32,7 +35,7 @@ def hash_rank(df: DataFrame, strata: list[str], key: str = "id", seed=42,
     offsets = counts.select(*strata, _HB, F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
     # |strata| x 16^hex_digits rows: bounded by construction
     w_in = Window.partitionBy(*strata, _HB).orderBy(_H, key)
-    return (d.join(F.broadcast(offsets), [*strata, _HB], "inner")
+    return (null_safe_join(d, offsets, [*strata, _HB], broadcast=True)
              .withColumn(out, F.col("_off") + F.row_number().over(w_in))
              .drop(_H, _HB, "_off"))
 
@@ -86,7 +89,7 @@ def stratified_downsample(df: DataFrame, ratio: float, label: str, key: str = "i
          .select(label, (F.col("_base") + F.when(F.col("_order") <= F.col("_left"), 1).otherwise(0))
                  .cast("long").alias("_quota")))
     ranked = hash_rank(df, [label], key, seed, hex_digits)
-    return (ranked.join(F.broadcast(q), [label], "inner")
+    return (null_safe_join(ranked, q, [label], broadcast=True)
                   .where(F.col(_RANK) <= F.col("_quota")).drop(_RANK, "_quota"))
 
 

@@ -9,8 +9,8 @@ on a cluster, and no path that is still being read lazily is overwritten.
 from __future__ import annotations
 
 import datetime as _dt
-import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +43,11 @@ def versioned_rewrite(spark: SparkSession, path: str, fix, schema: str = "id lon
     return out
 
 
+def not_there(e: AnalysisException) -> bool:
+    """Whether a read failed because nothing has been written yet, and for no other reason."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 # ---- A5: per-fold checkpoint with resume ---------------------------------------------
 def write_fold_checkpoint(df: DataFrame, path: str, fold_col: str = "fold") -> None:
     """Partitioned by fold; dynamic overwrite replaces only the folds present in ``df``."""
@@ -54,13 +59,18 @@ def finished_folds(spark: SparkSession, path: str, fold_col: str = "fold") -> Da
     """Distinct fold ids already checkpointed (empty if nothing was written)."""
     try:
         return spark.read.parquet(path).select(fold_col).distinct()
-    except Exception:  # noqa: BLE001 - no checkpoint yet
+    except AnalysisException as e:
+        if not not_there(e):
+            raise
         return spark.createDataFrame([], f"{fold_col} int")
 
 
 def pending(df: DataFrame, done: DataFrame, fold_col: str = "fold") -> DataFrame:
-    """Resume: keep only rows of folds that are not checkpointed (left anti join)."""
-    return df.join(F.broadcast(done), [fold_col], "left_anti")   # <= k rows
+    """Resume: keep only rows of folds that are not checkpointed.  The finished
+    folds (at most k values) are collected first, so the result can be written
+    to the folder that ``done`` was read from."""
+    finished = [r[0] for r in done.collect()]
+    return df.where(~F.coalesce(F.col(fold_col).isin(finished), F.lit(False))) if finished else df
 
 
 # ---- A6: pipeline artifacts ----------------------------------------------------------
@@ -103,7 +113,3 @@ def append_run_record(spark: SparkSession, path: str, run_id: str, n_splits: int
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).json(path)
-
-
-def params_to_json(params: dict) -> str:
-    return json.dumps(params, sort_keys=True)
