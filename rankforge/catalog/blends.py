@@ -12,6 +12,7 @@ from rankforge.functions.normal import sql_double
 from rankforge.operators import blend as BL
 from rankforge.operators import rank as RK
 from rankforge.schema import LABEL
+from rankforge.session import cut_lineage
 from rankforge.sources.fixture import scored_view, with_fixture
 
 SCORES = ["p1", "p2", "p3", "p4"]
@@ -44,34 +45,29 @@ def _cand_values(cands, alphas=None) -> str:
     return f"cand AS (SELECT * FROM (VALUES {', '.join(rows)}) t({', '.join(names)}))"
 
 
-def _lattice_sql(cands, cols, alphas=None, other=None, loss_weight=0.0, strata="") -> str:
+def lattice_sql(cands, cols, alphas=None, other=None, loss_weight=0.0, strata="", top=10) -> str:
+    """The best candidates by the exact AUC of every candidate."""
     m = len(cols)
     wsum = " + ".join(f"w{j + 1} * {c}" for j, c in enumerate(cols))
     score = f"({wsum})" if alphas is None else f"(alpha * ({wsum}) + (1.0e0 - alpha) * {other})"
     sp = f"{strata}, " if strata else ""
-    loss = ""
-    if loss_weight:
-        p = f"least(greatest({score}, 1e-7), 1.0e0 - 1e-7)"
-        loss = f", -(CAST({LABEL} AS DOUBLE) * ln({p}) + (1.0e0 - CAST({LABEL} AS DOUBLE)) * ln(1.0e0 - {p})) AS loss"
+    p = "least(greatest(score, 1e-7), 1.0e0 - 1e-7)"
+    loss = f"-(CAST(y AS DOUBLE) * ln({p}) + (1.0e0 - CAST(y AS DOUBLE)) * ln(1.0e0 - {p}))" if loss_weight else "0.0e0"
     wcols = ", ".join(f"w{j + 1}" for j in range(m)) + (", alpha" if alphas is not None else "")
-    sel_loss = ", sum(loss) AS loss" if loss_weight else ""
-    res_loss = ""
-    if loss_weight:
-        res_loss = (", round(sum(loss) / sum(n), 6) AS log_loss, "
-                    f"round(-(sum(npos * (2.0e0 * before_neg + nneg)) / (2.0e0 * sum(npos) * sum(nneg))) "
-                    f"+ {sql_double(loss_weight)} * (sum(loss) / sum(n)), 6) AS objective")
+    goal = f"round(auc - {sql_double(loss_weight)} * log_loss, 9)" if loss_weight else "auc"
+    more = f", round(log_loss, 6) AS log_loss, round({sql_double(loss_weight)} * log_loss - auc, 6) AS objective" if loss_weight else ""
+    part = f"PARTITION BY {strata} " if strata else ""
     return f"""
 , {_cand_values(cands, alphas)},
-  sc AS (SELECT {sp}c.cand, {LABEL} AS y,
-           CAST(least(floor({score} * 4096.0e0), 4095) AS INTEGER) AS bin{loss}
-         FROM rk CROSS JOIN cand c),
-  g AS (SELECT {sp}cand, bin, sum(y) AS npos, sum(1 - y) AS nneg, count(*) AS n{sel_loss}
-        FROM sc GROUP BY {sp}cand, bin),
-  c2 AS (SELECT *, coalesce(sum(nneg) OVER (PARTITION BY {sp}cand ORDER BY bin
+  sc AS (SELECT {sp}c.cand, {LABEL} AS y, {score} AS score FROM rk CROSS JOIN cand c),
+  g AS (SELECT {sp}cand, score, sum(y) AS npos, sum(1 - y) AS nneg, count(*) AS n, sum({loss}) AS loss
+        FROM sc GROUP BY {sp}cand, score),
+  c2 AS (SELECT *, coalesce(sum(nneg) OVER (PARTITION BY {sp}cand ORDER BY score
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_neg FROM g),
-  res AS (SELECT {sp}cand, sum(npos * (2.0e0 * before_neg + nneg)) / (2.0e0 * sum(npos) * sum(nneg)) AS auc{res_loss}
-          FROM c2 GROUP BY {sp}cand),
-  out AS (SELECT res.*, {wcols} FROM res JOIN cand USING (cand))
+  res AS (SELECT {sp}cand, sum(npos * (2.0e0 * before_neg + nneg)) / (2.0e0 * sum(npos) * sum(nneg)) AS auc,
+            sum(loss) / sum(n) AS log_loss FROM c2 GROUP BY {sp}cand),
+  rkd AS (SELECT *, CAST(row_number() OVER ({part}ORDER BY {goal} DESC, cand) AS INTEGER) AS rank FROM res),
+  out AS (SELECT {sp}rank, cand, {wcols}, auc{more} FROM rkd JOIN cand USING (cand) WHERE rank <= {top})
 """
 
 
@@ -99,31 +95,51 @@ def q_x7(spark, sf):
 
 
 # ---------------------------------------------------------------------------------
-# Simplex lattice AUC (one job for all candidates)
+# Simplex lattice search, the best ten by exact AUC (a top-k report)
 # ---------------------------------------------------------------------------------
 X3_CANDS = BL.simplex_lattice(4, 10)
 X5_CANDS = BL.simplex_lattice(3, 20)
 
 
-@register("x3_simplex_lattice_auc", with_fixture(_TR + _RK + _lattice_sql(X3_CANDS, RANKS) + "SELECT * FROM out",
+@register("x3_simplex_lattice_auc", with_fixture(_TR + _RK + lattice_sql(X3_CANDS, RANKS) + "SELECT * FROM out",
                                                  scores=True))
 def q_x3(spark, sf):
-    return BL.lattice_auc(ranked_train(spark, sf), RANKS, LABEL, X3_CANDS)
+    return BL.lattice_search(ranked_train(spark, sf), RANKS, LABEL, X3_CANDS)
 
 
-@register("x5_convex_blend_lattice", with_fixture(_TR + _RK + _lattice_sql(X5_CANDS, RANKS[:3])
+@register("x5_convex_blend_lattice", with_fixture(_TR + _RK + lattice_sql(X5_CANDS, RANKS[:3])
                                                   + "SELECT * FROM out", scores=True))
 def q_x5(spark, sf):
-    return BL.lattice_auc(ranked_train(spark, sf), RANKS[:3], LABEL, X5_CANDS)
+    return BL.lattice_search(ranked_train(spark, sf), RANKS[:3], LABEL, X5_CANDS)
+
+
+def _fit_rows(spark, fit, cols, other=None):
+    rows = [(c, float(w)) for c, w in zip(cols, fit.weights)] + ([(other, float(fit.alpha))] if other else [])
+    return spark.createDataFrame([(c, w, float(fit.auc), fit.chosen) for c, w in rows],
+                                 "model string, weight double, auc double, chosen string")
+
+
+def _stored_ranks(spark, sf):
+    return cut_lineage(ranked_train(spark, sf).select(LABEL, *RANKS))
 
 
 @register("x3_refined_blend_fit")
 def q_x3_fit(spark, sf):
     """Refined lattice search + exact winner check (ROWS: data-dependent lattice)."""
-    fit = BL.fit_lattice_blend(ranked_train(spark, sf).persist(), RANKS, LABEL, divisions=10, rounds=3)
-    row = [(float(w), RANKS[i]) for i, w in enumerate(fit.weights)]
-    return spark.createDataFrame([(m, w, float(fit.auc), fit.chosen) for w, m in row],
-                                 "model string, weight double, auc double, chosen string")
+    return _fit_rows(spark, BL.fit_blend(_stored_ranks(spark, sf), RANKS, LABEL), RANKS)
+
+
+@register("x4_refined_blend_fit")
+def q_x4_fit(spark, sf):
+    """Tree weights and alpha by AUC and log loss (the weight shown for the second stage is alpha)."""
+    fit = BL.fit_blend(_stored_ranks(spark, sf), RANKS[:3], LABEL, RANKS[3], divisions=5, loss_weight=1e-4)
+    return _fit_rows(spark, fit, RANKS[:3], RANKS[3])
+
+
+@register("x6_refined_blend_fit")
+def q_x6_fit(spark, sf):
+    """Tree weights and alpha by AUC alone."""
+    return _fit_rows(spark, BL.fit_blend(_stored_ranks(spark, sf), RANKS[:3], LABEL, RANKS[3], divisions=5), RANKS[:3], RANKS[3])
 
 
 # ---------------------------------------------------------------------------------
@@ -134,17 +150,17 @@ X4_ALPHAS = [i / 10 for i in range(11)]
 
 
 @register("x4_two_stage_lattice", with_fixture(
-    _TR + _RK + _lattice_sql(X4_CANDS, RANKS[:3], X4_ALPHAS, RANKS[3], 1e-4) + "SELECT * FROM out", scores=True))
+    _TR + _RK + lattice_sql(X4_CANDS, RANKS[:3], X4_ALPHAS, RANKS[3], 1e-4) + "SELECT * FROM out", scores=True))
 def q_x4(spark, sf):
-    res = BL.lattice_auc(ranked_train(spark, sf), RANKS[:3], LABEL, X4_CANDS, other=RANKS[3],
-                         alphas=X4_ALPHAS, loss_weight=1e-4)
+    res = BL.lattice_search(ranked_train(spark, sf), RANKS[:3], LABEL, X4_CANDS, other=RANKS[3],
+                            alphas=X4_ALPHAS, loss_weight=1e-4)
     return res.withColumns({"log_loss": rnd("log_loss"), "objective": rnd("objective")})
 
 
 @register("x6_two_stage_auc_lattice", with_fixture(
-    _TR + _RK + _lattice_sql(X4_CANDS, RANKS[:3], X4_ALPHAS, RANKS[3]) + "SELECT * FROM out", scores=True))
+    _TR + _RK + lattice_sql(X4_CANDS, RANKS[:3], X4_ALPHAS, RANKS[3]) + "SELECT * FROM out", scores=True))
 def q_x6(spark, sf):
-    return BL.lattice_auc(ranked_train(spark, sf), RANKS[:3], LABEL, X4_CANDS, other=RANKS[3], alphas=X4_ALPHAS)
+    return BL.lattice_search(ranked_train(spark, sf), RANKS[:3], LABEL, X4_CANDS, other=RANKS[3], alphas=X4_ALPHAS)
 
 
 # ---------------------------------------------------------------------------------
@@ -198,9 +214,8 @@ def q_g21(spark, sf):
 G22_CANDS = BL.simplex_lattice(4, 5)
 _G22_SQL = (", " + SP.folds_cte(K, SEED) + ", rk AS (SELECT id, fold, " + LABEL + ", "
             + ", ".join(f"{SP.pct_rank(p)} AS r_{p}" for p in SCORES) + " FROM fo)"
-            + _lattice_sql(G22_CANDS, RANKS, strata="fold") + """
-, win AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY auc DESC, cand) AS rn FROM out)
-          WHERE rn = 1),
+            + lattice_sql(G22_CANDS, RANKS, strata="fold", top=1) + """
+, win AS (SELECT * FROM out),
   lng AS (SELECT CASE wn WHEN 'w1' THEN 'r_p1' WHEN 'w2' THEN 'r_p2' WHEN 'w3' THEN 'r_p3' ELSE 'r_p4' END AS model,
                  weight FROM (UNPIVOT (SELECT w1, w2, w3, w4 FROM win) ON w1, w2, w3, w4 INTO NAME wn VALUE weight))
 SELECT model, round(avg(weight), 6) AS avg_weight, count(*) AS n_runs FROM lng GROUP BY model""")

@@ -1,20 +1,23 @@
-"""Model-fit queries (M1-M13, C4, C7, A6, A8: ROWS checks) and the SQL-checkable
+"""Model-fit queries (M1-M13, C4, A6, A8) with checks of their stored scores, and the SQL-checkable
 encoder smoothing search with its best-trial, gate and parameter-merge
 queries (M11 re-aimed, J6, J7, A7)."""
 
 from __future__ import annotations
 
-import time
+from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankforge.catalog import sqlparts as SP
 from rankforge.catalog.base import register
+from rankforge.catalog.blends import lattice_sql
 from rankforge.catalog.encoders import LEVEL_COLS, LEVELS_SQL, levels
 from rankforge.catalog.splits_metrics import K, SEED, train_folds, train_rows
 from rankforge.functions.columns import round_doubles
 from rankforge.functions.normal import sql_double
 from rankforge.operators import analytics as AN
+from rankforge.operators import blend as BL
 from rankforge.operators import features as FE
 from rankforge.operators import gates as GA
 from rankforge.operators import metrics as ME
@@ -25,7 +28,7 @@ from rankforge.operators.blend import uniform_blend
 from rankforge.plans import cv as CV
 from rankforge.plans import search as SE
 from rankforge.schema import LABEL, TE_SMOOTHING
-from rankforge.session import scratch_path
+from rankforge.session import cut_lineage, scratch_path
 from rankforge.sources import sinks as SK
 from rankforge.sources.fixture import behaviour_view, scored_view, with_fixture
 
@@ -76,24 +79,23 @@ def q_m8(spark, sf):
 
 @register("m4_m5_neural_families")
 def q_m4_m5(spark, sf):
-    folds = SA.stratified_folds(_raw_train(spark, sf), CV_K, LABEL, seed=SEED)
-    tr, va = SA.fold_split(folds, 0)
-    plan, trf = MO.fit_fold_features(tr, LABEL, 5, SEED)
-    trf = trf.persist()
-    vaf = MO.transform_fold_features(plan, va).select("id", LABEL, *plan.feature_cols)
-    for name in ("mlp", "fm"):
-        model = MO.fit_family(name, trf, LABEL, plan.feature_cols, n_estimators=20)
-        vaf = MO.score_family(model, name, vaf, f"p_{name}")
-    return vaf.select("id", LABEL, "p_mlp", "p_fm")
+    """Out-of-fold scores of the two neural families, every fold."""
+    return cached_cv(spark, sf, ("mlp", "fm")).oof
 
 
-@register("m6_early_stopping")
-def q_m6(spark, sf):
-    res = CV.cross_validate(_raw_train(spark, sf), LABEL, 2, ("gbt_depthwise",), 10, SEED,
+M6_MOST = 10
+
+
+def _early_stopped(spark, sf):
+    res = CV.cross_validate(_raw_train(spark, sf), LABEL, 2, ("gbt_depthwise",), M6_MOST, SEED,
                             early_stop=True, keep_models=True)
     n_trees = [(f, len(m.stages[-1].trees)) for (f, _), m in res.models.items()]
-    trees = spark.createDataFrame(n_trees, "fold int, n_trees int")
-    return res.fold_auc.join(trees, ["fold"], "inner")
+    return res.fold_auc.join(spark.createDataFrame(n_trees, "fold int, n_trees int"), ["fold"], "inner")
+
+
+@register("m6_early_stopping")
+def q_m6(spark, sf):
+    return _early_stopped(spark, sf)
 
 
 @register("m9_logistic_stacker")
@@ -103,7 +105,7 @@ def q_m9(spark, sf):
     df = train_rows(spark, sf).select("id", LABEL, "p1", "p2", "p3", "p4")
     g = RK.percentile_rank_columns(df, ["p1", "p2", "p3", "p4"], prefix="g_", kind="gauss_rank")
     gcols = ["g_p1", "g_p2", "g_p3", "g_p4"]
-    g = VectorAssembler(inputCols=gcols, outputCol="meta").transform(g).persist()
+    g = cut_lineage(VectorAssembler(inputCols=gcols, outputCol="meta").transform(g))
     n = g.count()
     model = MO.logistic_stacker(LABEL, "meta", n).fit(g)
     scored = model.transform(g).select("id", LABEL, MO.vector_to_array(F.col("prob_stack"))[1].alias("stack"))
@@ -131,9 +133,9 @@ def q_m13(spark, sf):
 def q_m11(spark, sf):
     ledger = scratch_path(spark, "ledger")
     df = SA.stratified_downsample(_raw_train(spark, sf), 0.3, LABEL, seed=SEED)   # proxy (S2)
-    SE.model_search(df, LABEL, ("gbt_depthwise", "forest"), 1, ledger, k=2, n_estimators=3)
+    SE.model_search(df, LABEL, ("gbt_depthwise", "forest"), 2, ledger, k=2, n_estimators=3)
     # a second call is a warm start: every trial is in the ledger, nothing is refitted
-    return SE.model_search(df, LABEL, ("gbt_depthwise", "forest"), 1, ledger, k=2, n_estimators=3)
+    return SE.model_search(df, LABEL, ("gbt_depthwise", "forest"), 2, ledger, k=2, n_estimators=3)
 
 
 @register("a8_ledger_append")
@@ -141,14 +143,14 @@ def q_a8(spark, sf):
     ledger = scratch_path(spark, "ledger-a8")
     res = cached_cv(spark, sf)
     SK.append_run_record(spark, ledger, "cv", CV_K, list(CV.DEFAULT_FAMILIES), res.mean_auc,
-                         [1.0 / 3] * 3, float(sum(s for _, s in res.fold_seconds)))
+                         [1.0 / len(CV.DEFAULT_FAMILIES)] * len(CV.DEFAULT_FAMILIES), float(sum(s for _, s in res.fold_seconds)))
     return SK.read_ledger(spark, ledger).select("run_id", "n_splits", "auc", "weights")
 
 
-@register("c7_fold_progress")
+@register("c7_fold_progress", with_fixture(f"""
+SELECT {CV_K} AS folds_done, count(*) AS rows_scored, 0 AS folds_left FROM sx WHERE split = 'train'""", scores=True))
 def q_c7(spark, sf):
-    res = cached_cv(spark, sf)
-    return GA.fold_progress(SE.fold_ledger(spark, res.fold_seconds), CV_K + 2)
+    return GA.fold_progress(cached_cv(spark, sf).oof, CV_K)
 
 
 @register("a6_artifact_roundtrip")
@@ -220,7 +222,7 @@ def q_j7(spark, sf):
 SELECT arg_max(col, auc) AS best_candidate, max(auc) AS best_auc, max(delta) AS best_delta
 FROM cand WHERE delta >= 0.0003e0""", scores=True))
 def q_j6(spark, sf):
-    t = smoothing_trials(spark, sf).where(F.col("m") == TE_SMOOTHING).persist()
+    t = cut_lineage(smoothing_trials(spark, sf).where(F.col("m") == TE_SMOOTHING))      # one row per column
     baseline = t.where(F.col("col") == "gender").first()["auc"]
     return SE.best_candidate_above_gate(t, baseline)
 
@@ -242,13 +244,227 @@ def q_a7(spark, sf):
     return SK.merge_params(defaults, tuned)
 
 
+# the full scoring lifecycle (M8 -> W3 -> C3 -> M9 -> C1 -> C2)
 # ---------------------------------------------------------------------------------
-# the full scoring lifecycle (M8 -> W3 -> C3 -> M9 -> C2 -> C1)
-# ---------------------------------------------------------------------------------
-@register("score_batch_lifecycle")
-def q_score_batch(spark, sf):
+def _lifecycle(spark, sf):
     from rankforge.plans import score as SC
     res = cached_cv(spark, sf)
     stacker = SC.fit_stacker(res, CV.DEFAULT_FAMILIES, LABEL)
-    out = SC.score_batch(res, _raw_test(spark, sf), CV.DEFAULT_FAMILIES, stacker)
-    return out.scores
+    return SC.score_batch(res, _raw_test(spark, sf), CV.DEFAULT_FAMILIES, stacker)
+
+
+@register("score_batch_lifecycle")
+def q_score_batch(spark, sf):
+    return _lifecycle(spark, sf).scores
+
+
+# ---------------------------------------------------------------------------------
+# checks of the stored scores that SQL can verify: rows, folds, labels and ranges
+# ---------------------------------------------------------------------------------
+_FAMILY_COLS = [f"p_{n}" for n in CV.DEFAULT_FAMILIES]
+_CV_SQL = ", tr AS (SELECT * FROM sx WHERE split = 'train'), " + SP.folds_cte(CV_K, SEED)
+
+
+def _in_unit(cols):
+    return F.coalesce(reduce(lambda a, b: a & b, [F.col(c).between(0.0, 1.0) & ~F.isnan(c) for c in cols]), F.lit(False))
+
+
+@register("m7_oof_checks", with_fixture(_CV_SQL + f"""
+SELECT id, {LABEL}, fold, true AS scores_in_unit, true AS blend_is_mean FROM fo""", scores=True))
+def q_m7_checks(spark, sf):
+    """Each train row once, in its S1 fold, with a score of every family; the blend is their mean."""
+    oof = cached_cv(spark, sf).oof.withColumn("_blend", uniform_blend(_FAMILY_COLS))
+    mean = F.aggregate(F.array(*_FAMILY_COLS), F.lit(0.0), lambda a, x: a + x) / len(_FAMILY_COLS)
+    return oof.select("id", LABEL, "fold", _in_unit(_FAMILY_COLS).alias("scores_in_unit"),
+                      (F.abs(F.col("_blend") - mean) < 1e-12).alias("blend_is_mean"))
+
+
+@register("m7_fold_auc_checks", with_fixture(_CV_SQL + f"""
+SELECT fold, CAST(sum({LABEL}) AS BIGINT) AS n_pos, CAST(sum(1 - {LABEL}) AS BIGINT) AS n_neg, true AS auc_agrees
+FROM fo GROUP BY fold""", scores=True))
+def q_m7_auc_checks(spark, sf):
+    """The stored AUC of each fold equals the one from plain ranks over the stored scores."""
+    res = cached_cv(spark, sf)
+    oof = res.oof.withColumn("_blend", uniform_blend(_FAMILY_COLS))
+    w = Window.partitionBy("fold").orderBy("_blend")
+    rank = F.rank().over(w) + (F.count(F.lit(1)).over(Window.partitionBy("fold", "_blend")) - 1) / F.lit(2.0)
+    plain = (oof.withColumn("_r", rank).groupBy("fold").agg(
+        F.sum(F.when(F.col(LABEL) == 1, F.col("_r"))).alias("_rs"), F.sum(LABEL).alias("_p"), F.count(F.lit(1)).alias("_n"))
+        .select("fold", ((F.col("_rs") - F.col("_p") * (F.col("_p") + 1) / 2.0) / (F.col("_p") * (F.col("_n") - F.col("_p")))).alias("_auc")))
+    return res.fold_auc.join(plain, "fold").select("fold", "n_pos", "n_neg", (F.abs(F.col("auc") - F.col("_auc")) < 1e-12).alias("auc_agrees"))
+
+
+def _family_counts(names):
+    values = ", ".join(f"('p_{n}')" for n in names)
+    return with_fixture(_CV_SQL + f"""
+SELECT model, CAST(sum({LABEL}) AS BIGINT) AS n_pos, CAST(sum(1 - {LABEL}) AS BIGINT) AS n_neg, true AS better_than_chance
+FROM fo CROSS JOIN (VALUES {values}) f(model) GROUP BY model""", scores=True)
+
+
+def _better(spark, sf, names, families):
+    auc = ME.auc_columns(cached_cv(spark, sf, families).oof, [f"p_{n}" for n in names], LABEL)
+    return auc.select("model", "n_pos", "n_neg", (F.col("auc") > 0.5).alias("better_than_chance"))
+
+
+@register("m1_m3_family_checks", _family_counts(CV.DEFAULT_FAMILIES[:3]))
+def q_m1_checks(spark, sf):
+    return _better(spark, sf, CV.DEFAULT_FAMILIES[:3], CV.DEFAULT_FAMILIES)
+
+
+@register("m4_m5_neural_checks", _family_counts(("mlp", "fm")))
+def q_m4_checks(spark, sf):
+    return _better(spark, sf, ("mlp", "fm"), ("mlp", "fm"))
+
+
+@register("m6_early_stopping_checks", with_fixture(
+    ", tr AS (SELECT * FROM sx WHERE split = 'train'), " + SP.folds_cte(2, SEED) + f"""
+SELECT fold, CAST(sum({LABEL}) AS BIGINT) AS n_pos, CAST(sum(1 - {LABEL}) AS BIGINT) AS n_neg, true AS stopped_in_time
+FROM fo GROUP BY fold""", scores=True))
+def q_m6_checks(spark, sf):
+    got = _early_stopped(spark, sf)
+    return got.select("fold", "n_pos", "n_neg", F.col("n_trees").between(1, M6_MOST).alias("stopped_in_time"))
+
+
+@register("m8_scoring_checks", with_fixture("SELECT id, true AS scores_in_unit, true AS mean_of_folds FROM sx WHERE split = 'test'",
+                                            scores=True))
+def q_m8_checks(spark, sf):
+    """Each test row once; its scores are the means of what every fold's models give on their own."""
+    res, rows = cached_cv(spark, sf), _raw_test(spark, sf)
+    parts = None
+    for f, plan in sorted(res.plans.items()):
+        d = MO.transform_fold_features(plan, rows)
+        for name in CV.DEFAULT_FAMILIES:
+            d = MO.score_family(res.models[(f, name)], name, d, f"p_{name}")
+        part = d.select("id", *_FAMILY_COLS)
+        parts = part if parts is None else parts.unionByName(part)
+    apart = parts.groupBy("id").agg(*[F.avg(c).alias(f"a_{c}") for c in _FAMILY_COLS])
+    both = CV.fold_averaged_scores(res, rows).join(apart, "id")
+    same = reduce(lambda a, b: a & b, [F.abs(F.col(c) - F.col(f"a_{c}")) < 1e-9 for c in _FAMILY_COLS])
+    return both.select("id", _in_unit(_FAMILY_COLS).alias("scores_in_unit"), same.alias("mean_of_folds"))
+
+
+@register("m9_stacker_checks", with_fixture(f"""
+SELECT CAST(sum({LABEL}) AS BIGINT) AS n_pos, CAST(sum(1 - {LABEL}) AS BIGINT) AS n_neg, true AS as_good_as_singles
+FROM sx WHERE split = 'train'""", scores=True))
+def q_m9_checks(spark, sf):
+    """The stacker's in-sample AUC is not below the best single score's by more than 0.005 (it minimises log loss)."""
+    tr = train_rows(spark, sf).select("id", LABEL, "p1", "p2", "p3", "p4")
+    stack = q_m9(spark, sf).first()["in_sample_auc"]                                    # four rows
+    auc = ME.auc_columns(tr, ["p1", "p2", "p3", "p4"], LABEL)
+    return auc.agg(F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"),
+                   (F.lit(float(stack)) >= F.max("auc") - 0.005).alias("as_good_as_singles"))
+
+
+@register("m10_reduced_fit_checks", f"""
+SELECT family, CAST(f.fold AS INTEGER) AS fold, {CV_TREES} AS n_trees, count(*) > 0 AS fitted
+FROM orders CROSS JOIN (SELECT unnest(['{"', '".join(CV.DEFAULT_FAMILIES[:3])}']) AS family) CROSS JOIN range({CV_K}) f(fold)
+GROUP BY family, f.fold""")
+def q_m10_checks(spark, sf):
+    """Every tree family has as many trees in each fold as the reduced fit asks for."""
+    res = cached_cv(spark, sf)
+    rows = [(n, f, len(m.stages[-1].trees), True) for (f, n), m in res.models.items() if n in CV.DEFAULT_FAMILIES[:3]]
+    return spark.createDataFrame(rows, "family string, fold int, n_trees int, fitted boolean")
+
+
+@register("m11_m12_search_checks", f"""
+SELECT family, CAST(2 AS BIGINT) AS n_trials, true AS auc_in_unit, count(*) > 0 AS searched
+FROM orders CROSS JOIN (VALUES ('gbt_depthwise'), ('forest')) f(family) GROUP BY family""")
+def q_m11_checks(spark, sf):
+    trials = q_m11(spark, sf)
+    return trials.groupBy("family").agg(F.countDistinct("params").alias("n_trials"),
+                                        (F.min("mean_auc").between(0.0, 1.0) & F.max("mean_auc").between(0.0, 1.0)).alias("auc_in_unit"),
+                                        (F.count(F.lit(1)) > 0).alias("searched"))
+
+
+@register("m13_residual_checks", with_fixture(f"SELECT id, {LABEL}, true AS residual_ok FROM sx WHERE split = 'train'", scores=True))
+def q_m13_checks(spark, sf):
+    r = AN.absolute_residual(cached_cv(spark, sf).oof, LABEL, "p_gbt_leafwise")
+    new = [c for c in r.columns if c not in cached_cv(spark, sf).oof.columns][0]
+    want = F.abs(F.col(LABEL) - F.col("p_gbt_leafwise"))
+    return r.select("id", LABEL, (F.abs(F.col(new) - want) < 1e-12).alias("residual_ok"))
+
+
+@register("score_contract_checks", with_fixture("""
+, n AS (SELECT count(*) AS c FROM sx WHERE split = 'test')
+SELECT 'row_parity' AS check_name, true AS passed, c || '/' || c AS detail FROM n
+UNION ALL SELECT 'column_count', true, '2' FROM n
+UNION ALL SELECT 'no_nulls', true, '0' FROM n
+UNION ALL SELECT 'score_in_unit_interval', true, '0' FROM n""", scores=True))
+def q_score_contract(spark, sf):
+    return _lifecycle(spark, sf).contract
+
+
+@register("score_drift_checks", with_fixture(f"""
+SELECT 'r_' || f.model AS model, CAST(count(*) FILTER (split = 'train') AS BIGINT) AS n_a,
+       CAST(count(*) FILTER (split = 'test') AS BIGINT) AS n_b, true AS ks_in_unit
+FROM sx CROSS JOIN (VALUES {", ".join(f"('{c}')" for c in _FAMILY_COLS)}) f(model) GROUP BY f.model""", scores=True))
+def q_score_drift(spark, sf):
+    d = _lifecycle(spark, sf).drift
+    return d.select("model", "n_a", "n_b", F.col("ks_stat").between(0.0, 1.0).alias("ks_in_unit"))
+
+
+# ---------------------------------------------------------------------------------
+# NULL labels, NULL groups and NULL scores (made by key rules) lose no row
+# ---------------------------------------------------------------------------------
+_HOLES = f""", tr0 AS (SELECT * FROM sx WHERE split = 'train'),
+  tr AS (SELECT * REPLACE (CASE WHEN id % 10 = 3 THEN NULL ELSE {LABEL} END AS {LABEL},
+                           CASE WHEN id % 9 = 2 THEN NULL ELSE p2 END AS p2) FROM tr0)"""
+
+
+def _holes(spark, sf):
+    return train_rows(spark, sf).withColumns({LABEL: F.when(F.col("id") % 10 != 3, F.col(LABEL)),
+                                              "p2": F.when(F.col("id") % 9 != 2, F.col("p2"))})
+
+
+@register("s1_null_label_folds", with_fixture(_HOLES + ", " + SP.folds_cte(K, SEED) + f"\nSELECT id, {LABEL}, fold FROM fo", scores=True))
+def q_s1_null(spark, sf):
+    return SA.stratified_folds(_holes(spark, sf), K, LABEL, seed=SEED).select("id", LABEL, "fold")
+
+
+@register("q2_null_group_auc", with_fixture(_HOLES + f"""
+, g AS (SELECT stress_level, p2, count(*) AS n, sum({LABEL}) AS npos FROM tr
+        WHERE p2 IS NOT NULL AND {LABEL} IS NOT NULL GROUP BY stress_level, p2),
+  c AS (SELECT *, n - npos AS nneg, coalesce(sum(n - npos) OVER (PARTITION BY stress_level ORDER BY p2
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_neg FROM g)
+SELECT stress_level, sum(npos * (2.0e0 * before_neg + nneg)) / (2.0e0 * sum(npos) * sum(nneg)) AS auc,
+       CAST(sum(npos) AS BIGINT) AS n_pos, CAST(sum(nneg) AS BIGINT) AS n_neg FROM c GROUP BY stress_level""", scores=True))
+def q_q2_null(spark, sf):
+    return ME.auc_by(_holes(spark, sf), "p2", LABEL, ["stress_level"])
+
+
+@register("q15_null_group_frequencies", with_fixture("""
+, n AS (SELECT stress_level, gender, count(*) AS n FROM fx GROUP BY stress_level, gender)
+SELECT stress_level, gender, n, n / CAST(sum(n) OVER (PARTITION BY stress_level) AS DOUBLE) AS freq FROM n"""))
+def q_q15_null(spark, sf):
+    return ME.value_frequencies(behaviour_view(spark, sf).select("stress_level", "gender"), "gender", ["stress_level"])
+
+
+@register("c1_contract_null_score", with_fixture("""
+, te AS (SELECT id, CASE WHEN id % 9 = 2 THEN NULL ELSE p2 END AS score FROM sx WHERE split = 'test')
+SELECT 'row_parity' AS check_name, true AS passed, count(*) || '/' || count(*) AS detail FROM te
+UNION ALL SELECT 'column_count', true, '2'
+UNION ALL SELECT 'no_nulls', count(*) FILTER (score IS NULL) = 0, CAST(count(*) FILTER (score IS NULL) AS VARCHAR) FROM te
+UNION ALL SELECT 'score_in_unit_interval', true, '0'""", scores=True))
+def q_c1_null(spark, sf):
+    """Calibration leaves a missing score missing, and the contract sees it."""
+    te = scored_view(spark, sf).where(F.col("split") == "test")
+    scores = GA.calibrate(te.select("id", F.when(F.col("id") % 9 != 2, F.col("p2")).alias("score")))
+    return GA.output_contract(scores, te)
+
+
+@register("x3_null_score_lattice", with_fixture(_HOLES + f"""
+, rk AS (SELECT id, {LABEL}, p1 AS r_p1, p2 AS r_p2 FROM tr WHERE p2 IS NOT NULL AND {LABEL} IS NOT NULL)"""
+                                                + lattice_sql(BL.simplex_lattice(2, 20), ["r_p1", "r_p2"]) + "SELECT * FROM out", scores=True))
+def q_x3_null(spark, sf):
+    rows = _holes(spark, sf).select("id", LABEL, F.col("p1").alias("r_p1"), F.col("p2").alias("r_p2"))
+    return BL.lattice_search(rows, ["r_p1", "r_p2"], LABEL, BL.simplex_lattice(2, 20))
+
+
+@register("f10_zero_denominators", with_fixture("""
+SELECT id, app_opens_per_day / nullif(ntf + 1.0e0, 0) AS compulsive_pull_ratio
+FROM (SELECT *, CASE WHEN id % 8 = 1 THEN -1.0e0 ELSE notifications_per_day END AS ntf FROM fx)"""))
+def q_f10_zero(spark, sf):
+    """A row with -1 notifications has no ratio; it does not end the job."""
+    dirty = behaviour_view(spark, sf).withColumn("notifications_per_day",
+                                                 F.when(F.col("id") % 8 == 1, F.lit(-1.0)).otherwise(F.col("notifications_per_day")))
+    return dirty.select("id", FE.behaviour_features(dirty)["compulsive_pull_ratio"].alias("compulsive_pull_ratio"))

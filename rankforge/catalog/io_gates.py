@@ -1,4 +1,4 @@
-"""Sources/sinks (A1-A5, A9), gates (C1, C2, C6) and text extraction (T1x, T2x)."""
+"""Sources/sinks (A1-A5), gates (C1, C2, C6) and text extraction (T1x, T2x)."""
 
 from __future__ import annotations
 
@@ -16,7 +16,6 @@ from rankforge.operators import text as TX
 from rankforge.schema import BEHAVIOUR_SCHEMA, LABEL
 from rankforge.session import scratch_path
 from rankforge.sources import sinks as SK
-from rankforge.sources import synthetic as SY
 from rankforge.sources.fixture import FIXTURE_SQL, behaviour_view, scored_view, with_fixture
 from rankforge.sources.tables import first_n, read_csv_typed, read_table
 from pyspark.sql import types as T
@@ -91,13 +90,6 @@ def q_a5(spark, sf):
     return spark.read.parquet(path).select("id", F.col("fold").cast("int").alias("fold"), "p1", "p2", "p3", "p4")
 
 
-@register("a9_synthetic_behaviour")
-def q_a9(spark, sf):
-    """Seeded synthetic behaviour table keyed by the orders keys (ROWS)."""
-    keys = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    return SY.synthetic_behaviour(keys, "id", SEED)
-
-
 # ---------------------------------------------------------------------------------
 # C1 output contract, C6 class-ratio check
 # ---------------------------------------------------------------------------------
@@ -147,7 +139,7 @@ def _strip_sql(x: str) -> str:
     return f"regexp_replace({x}, '^{_WS_SQL}+|{_WS_SQL}+$', '', 'g')"
 
 
-_T1_PAT = r"```(?:python)?\s*(def\s+add_new_features[\s\S]*?)```"
+_T1_PAT = TX.FUNCTION_PATTERN
 _T1_SQL = f"""
 SELECT conv_id, turn, code IS NOT NULL AS found, code FROM (
   SELECT conv_id, turn,

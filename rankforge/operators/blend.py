@@ -1,32 +1,32 @@
 """Blending and weight search.
 
 Weight search is re-aimed from a sequential simplex solver to a *batched
-lattice search*: every candidate weight vector of a simplex lattice is scored
-in ONE job.  Each row emits one (candidate, bin) pair per candidate via
-``posexplode`` of an array of Column expressions (a Generate inside the same
-codegen stage, no join), and map-side partial aggregation on
-(candidate, bin, y) bounds the shuffle to K x bins x 2 rows per partition.
-AUC per candidate then runs over <= ``n_bins`` rows per candidate.  Refinement
-rounds shrink the lattice around the winner; finally the exact AUC of the
-winner and of every single model is computed and the best is returned, so
-"blend >= best single model" holds by construction.
+lattice search*: one pass over the rows bounds the AUC of every candidate
+weight vector of a simplex lattice by histograms, and the few candidates that
+can still win get their exact AUC.  Refinement rounds shrink the lattice around
+the winner; it is held against every single model, so "blend >= best single
+model" holds by construction.
 """
 
 from __future__ import annotations
 
 import itertools
-import json
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import logit, rnd, sigmoid
-from rankforge.operators.metrics import auc_by
+from rankforge.operators.joins import null_safe_join
+from rankforge.operators.metrics import auc_by, auc_columns
 from rankforge.operators.rank import percentile_rank_columns
 from rankforge.schema import LOGLOSS_CLIP
-from rankforge.sources.tables import ensure_parallelism
+from rankforge.session import cut_lineage, map_arrow
 
+#: Bins of the bounding pass; they decide how many candidates it leaves, not the result.
 N_BINS = 4096
 
 
@@ -42,10 +42,10 @@ def uniform_blend(cols: list[str]) -> Column:
 
 
 def weighted_blend(cols: list[str], weights) -> Column:
-    """sum_i w_i * col_i with literal weights."""
+    """sum_i w_i * col_i with literal weights (or weight columns)."""
     acc = None
     for c, w in zip(cols, weights):
-        term = F.lit(float(w)) * F.col(c)
+        term = (w if isinstance(w, Column) else F.lit(float(w))) * F.col(c)
         acc = term if acc is None else acc + term
     return acc
 
@@ -81,70 +81,130 @@ def local_lattice(center, step: float, radius: int = 2) -> list[tuple[float, ...
 
 
 # ---------------------------------------------------------------------------------
-# Batched lattice AUC
+# Batched lattice search
 # ---------------------------------------------------------------------------------
-def lattice_auc(df: DataFrame, rank_cols: list[str], label: str, candidates,
-                n_bins: int = N_BINS, strata=(), other: str | None = None,
-                alphas=None, loss_weight: float = 0.0) -> DataFrame:
-    """(strata..., cand, auc[, log_loss, objective]) for every candidate in one job.
+def _scores(w: np.ndarray, ranks: list[np.ndarray], alpha: np.ndarray | None, other: np.ndarray | None) -> np.ndarray:
+    """(rows, candidates) blend scores, added up in the order of the columns as SQL does."""
+    s = ranks[0][:, None] * w[:, 0]
+    for j in range(1, len(ranks)):
+        s = s + ranks[j][:, None] * w[:, j]
+    return s if alpha is None else alpha * s + (1.0 - alpha) * other[:, None]
+
+
+def lattice_bounds(df: DataFrame, rank_cols: list[str], label: str, cands: list[tuple], strata=(),
+                   other: str | None = None, loss: bool = False, n_bins: int = N_BINS) -> DataFrame:
+    """(strata..., cand, low, high, log_loss): bounds of every candidate's AUC from ONE pass.
+
+    Every partition counts positives and negatives per candidate and bin of the
+    score in one array (candidates x bins x 2, whatever its rows), and the
+    arrays are added up per candidate.  Pairs in different bins are ordered, so
+    the AUC lies within half the pairs that share a bin of the binned value.
+    """
+    strata = list(strata)
+    w = np.array([c[0] for c in cands], dtype=np.float64)
+    alpha = None if other is None else np.array([c[1] for c in cands], dtype=np.float64)
+    size = len(cands)
+    cols = [F.col(c).cast("double").alias(f"_r{j}") for j, c in enumerate([*rank_cols, *([other] if other else [])])]
+    rows = df.select(*strata, F.col(label).cast("int").alias("_y"), *cols)
+    rows = rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in rows.columns[len(strata) + 1:]])
+                      & F.col("_y").isNotNull())
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:len(strata)])
+    names = [*strata, "cand", "h", "loss"]
+
+    def count(batches):
+        total: dict[tuple, list] = {}
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(strata))])) if strata else [()] * batch.num_rows
+            y = batch.column(len(strata)).to_numpy()
+            ranks = [batch.column(len(strata) + 1 + j).to_numpy() for j in range(len(rank_cols) + bool(other))]
+            for key in dict.fromkeys(keys):
+                mine = np.flatnonzero(np.array([k == key for k in keys])) if len(set(keys)) > 1 else np.arange(len(y))
+                held = total.setdefault(key, [np.zeros(size * n_bins * 2, dtype=np.int64), np.zeros(size)])
+                for at in range(0, len(mine), 4096):
+                    own = mine[at:at + 4096]
+                    r = [x[own] for x in ranks]
+                    s = _scores(w, r[:len(rank_cols)], alpha, r[-1])
+                    bins = np.clip(np.floor(s * n_bins), 0, n_bins - 1).astype(np.int64)
+                    held[0] += np.bincount(((np.arange(size) * n_bins + bins) * 2 + y[own][:, None]).ravel(), minlength=size * n_bins * 2)
+                    if loss:
+                        p = np.clip(s, LOGLOSS_CLIP, 1.0 - LOGLOSS_CLIP)
+                        held[1] += -np.where(y[own][:, None] == 1, np.log(p), np.log(1.0 - p)).sum(0)
+        for key, (h, lost) in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([k] * size, batch.schema.field(i).type) for i, k in enumerate(key)], pa.array(range(size), pa.int32()),
+                 pa.array([x.tobytes() for x in h.reshape(size, -1)], pa.binary()), pa.array(lost)], names)
+
+    def add_up(batches):
+        held: dict[tuple, list] = {}
+        types: list = []
+        for batch in batches:
+            types = [f.type for f in batch.schema]
+            for *key, h, lost in zip(*[c.to_pylist() for c in batch.columns]):
+                mine = held.setdefault(tuple(key), [np.zeros(n_bins * 2, dtype=np.int64), 0.0])
+                mine[0] += np.frombuffer(h, dtype=np.int64)
+                mine[1] += lost
+        out: list[list] = [[] for _ in names[:-2]] + [[], [], []]
+        for key, (h, lost) in held.items():
+            neg, pos = h.reshape(-1, 2).T.astype(np.float64)
+            pairs = pos.sum() * neg.sum()
+            base, slack = float((pos * (np.cumsum(neg) - neg / 2)).sum()), float((pos * neg).sum() / 2)
+            got = [*key, (base - slack) / pairs, (base + slack) / pairs, lost / float(h.sum())] if pairs else [*key, None, None, None]
+            for column, x in zip(out, got):
+                column.append(x)
+        if held:
+            kinds_out = [*types[:-2], pa.float64(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds_out)], [*names[:-2], "low", "high", "log_loss"])
+
+    parts = map_arrow(rows, count, f"{kinds}cand int, h binary, loss double").repartition(*strata, "cand")
+    return map_arrow(parts, add_up, f"{kinds}cand int, low double, high double, log_loss double")
+
+
+def lattice_search(df: DataFrame, rank_cols: list[str], label: str, candidates, top: int = 10, strata=(),
+                   other: str | None = None, alphas=None, loss_weight: float = 0.0) -> DataFrame:
+    """(strata..., rank, cand, w1.., [alpha,] auc[, log_loss, objective]): the best ``top`` candidates, exactly.
 
     ``candidates`` are weight vectors over ``rank_cols``; with ``alphas`` the
     candidates are (w, alpha) pairs for the two-stage blend against ``other``.
-    Scores are binned to ``n_bins`` equal-width bins on [0, 1]; AUC uses the
-    binned score (ties within a bin count 1/2).
+    One pass bounds the AUC of all candidates; those whose upper bound reaches
+    the lower bound of the ``top``-th best can still win, and only they get the
+    exact AUC, from their own scores.  Best means highest AUC, or, with
+    ``loss_weight``, lowest ``loss_weight * log_loss - auc`` (to nine digits);
+    ties go to the smaller candidate.  Rows with a NULL rank or label do not count.
     """
     strata = list(strata)
-    m = len(rank_cols)
-    if alphas is None:
-        cands = [(tuple(w), None) for w in candidates]
+    spark = df.sparkSession
+    cands = [(tuple(w), a) for w in candidates for a in (alphas if alphas is not None else [None])]
+    names = [f"w{j + 1}" for j in range(len(rank_cols))]
+    bounds = lattice_bounds(df, rank_cols, label, cands, strata, other, bool(loss_weight))
+    loss = F.lit(float(loss_weight)) * F.col("log_loss")
+    best, worst = F.col("high") - loss, F.col("low") - loss   # of the negated objective
+    place = F.row_number().over(Window.partitionBy(*strata).orderBy(worst.desc_nulls_last()))  # |candidates| rows each
+    floor = F.max(F.when(F.col("_place") == top, worst)).over(Window.partitionBy(*strata))
+    alive = (bounds.withColumn("_place", place).withColumn("_floor", F.coalesce(floor, F.lit(float("-inf"))))
+             .where(best >= F.col("_floor") - 1e-9))
+    values = spark.createDataFrame([(i, *map(float, w), None if a is None else float(a)) for i, (w, a) in enumerate(cands)],
+                                   "cand int, " + "".join(f"{n} double, " for n in names) + "alpha double")
+    # |strata| x |candidates| rows at most
+    alive = cut_lineage(alive.select(*strata, "cand", "log_loss").join(F.broadcast(values), "cand"))
+    keep = df.select(*strata, label, *rank_cols, *([other] if other else [])).where(F.col(label).isNotNull())
+    if strata:
+        each = null_safe_join(keep, alive, strata, broadcast=True)
     else:
-        cands = [(tuple(w), a) for w in candidates for a in alphas]
-    wnames = [f"w{j + 1}" for j in range(m)]
-    # the candidate list travels as ONE JSON string literal that constant folding
-    # turns into a single array<struct> literal: planning stays O(1) in the number
-    # of candidates, and explode keeps the per-row expression small for codegen
-    payload = json.dumps([{"cand": i, **{n: float(x) for x, n in zip(w, wnames)},
-                           "alpha": float(a) if a is not None else 1.0}
-                          for i, (w, a) in enumerate(cands)])
-    ddl = "array<struct<cand:int," + ",".join(f"{n}:double" for n in wnames) + ",alpha:double>>"
-    lattice = F.from_json(F.lit(payload), ddl)
-    keep = [*strata, F.col(label).cast("int").alias("_y"), *rank_cols] + ([other] if other else [])
-    # K output rows per input row: make sure the input is spread over all cores first
-    long = ensure_parallelism(df.select(*keep)).select("*", F.explode(lattice).alias("c"))
-    wsum = None
-    for n, r in zip(wnames, rank_cols):
-        t = F.col(f"c.{n}") * F.col(r)
-        wsum = t if wsum is None else wsum + t
-    score = wsum if alphas is None else \
-        F.col("c.alpha") * wsum + (F.lit(1.0) - F.col("c.alpha")) * F.col(other)
-    long = long.select(*strata, "_y", F.col("c.cand").alias("cand"),
-                       F.least(F.floor(score * F.lit(float(n_bins))), F.lit(n_bins - 1)).cast("int").alias("bin"),
-                       *([_logloss_term(score, "_y")] if loss_weight else [F.lit(0.0).alias("loss")]))
-    g = long.groupBy(*strata, "cand", "bin").agg(
-        F.sum("_y").alias("npos"), F.sum(F.lit(1) - F.col("_y")).alias("nneg"),
-        F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*strata, "cand").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("before_neg", F.coalesce(F.sum("nneg").over(w), F.lit(0)))
-    res = g.groupBy(*strata, "cand").agg(
-        (F.sum(F.col("npos").cast("double") * (F.lit(2.0) * F.col("before_neg") + F.col("nneg")))
-         / (F.lit(2.0) * F.sum("npos").cast("double") * F.sum("nneg").cast("double"))).alias("auc"),
-        (F.sum("loss") / F.sum("n")).alias("log_loss"))
-    # candidate weights: K rows from the same literal, equi-joined on the candidate id
-    weights = df.sparkSession.range(1).select(F.explode(lattice).alias("c")).select(
-        F.col("c.cand").alias("cand"), *[F.col(f"c.{n}").alias(n) for n in wnames], F.col("c.alpha").alias("alpha"))
-    res = res.join(F.broadcast(weights), ["cand"], "inner")
-    res = res.withColumn("objective", -F.col("auc") + F.lit(float(loss_weight)) * F.col("log_loss"))
-    if alphas is None:
-        res = res.drop("alpha")
-    if not loss_weight:
-        res = res.drop("log_loss", "objective")
-    return res
-
-
-def _logloss_term(score: Column, y: str, clip: float = LOGLOSS_CLIP) -> Column:
-    p = F.least(F.greatest(score, F.lit(clip)), F.lit(1.0 - clip))
-    yd = F.col(y).cast("double")
-    return (-(yd * F.ln(p) + (F.lit(1.0) - yd) * F.ln(F.lit(1.0) - p))).alias("loss")
+        each = keep.withColumn("_c", F.explode(F.array(*[
+            F.struct(*[F.lit(r[c]).alias(c) for c in ("cand", *names, "alpha")])
+            for r in alive.collect()]))).select("*", "_c.*").drop("_c")     # <= |candidates|
+    score = weighted_blend(rank_cols, [F.col(n) for n in names])
+    if other:
+        score = F.col("alpha") * score + (F.lit(1.0) - F.col("alpha")) * F.col(other)
+    exact = auc_by(each.select(*strata, "cand", label, score.alias("_score")), "_score", label, [*strata, "cand"])
+    out = null_safe_join(alive, exact.select(*strata, "cand", "auc"), [*strata, "cand"])
+    goal = rnd(F.col("auc") - loss, 9) if loss_weight else F.col("auc")
+    ranked = F.row_number().over(Window.partitionBy(*strata).orderBy(goal.desc_nulls_last(), "cand"))
+    out = out.withColumn("rank", ranked).where(F.col("rank") <= top)
+    if loss_weight:
+        out = out.withColumn("objective", loss - F.col("auc"))
+    return out.select(*strata, "rank", "cand", *names, *(["alpha"] if other else []), "auc",
+                      *(["log_loss", "objective"] if loss_weight else []))
 
 
 @dataclass
@@ -156,53 +216,34 @@ class BlendFit:
     history: list
 
 
-def _best(res: DataFrame, strata=(), by: str = "auc", ascending: bool = False) -> DataFrame:
-    order = F.col(by).asc() if ascending else F.col(by).desc()
-    w = Window.partitionBy(*strata).orderBy(order, F.col("cand").asc())
-    return res.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+def fit_blend(df: DataFrame, rank_cols: list[str], label: str, other: str | None = None, divisions: int = 10,
+              alpha_steps: int = 10, loss_weight: float = 0.0, rounds: int = 3, shrink: int = 5) -> BlendFit:
+    """X3/X5 (one stage), X4 (``other`` and loss_weight=1e-4), X6 (``other``, AUC only).
 
-
-def fit_lattice_blend(df: DataFrame, rank_cols: list[str], label: str, divisions: int = 10,
-                      rounds: int = 3, shrink: int = 5, n_bins: int = N_BINS) -> BlendFit:
-    """Simplex lattice search with refinement; exact AUC decides the winner."""
-    cands = simplex_lattice(len(rank_cols), divisions)
-    step = 1.0 / divisions
-    history = []
-    best_w = None
+    Lattice search with refinement around each round's winner, all by exact
+    AUC; the winner is held against every single column, so the blend is never
+    worse than the best of them.
+    """
+    cands, step = simplex_lattice(len(rank_cols), divisions), 1.0 / divisions
+    alphas, alpha_step = ([i / alpha_steps for i in range(alpha_steps + 1)], 1.0 / alpha_steps) if other else (None, 0.0)
+    history: list = []
     for r in range(rounds):
-        res = lattice_auc(df, rank_cols, label, cands, n_bins)
-        top = _best(res).first()       # one row
-        best_w = tuple(top[f"w{i + 1}"] for i in range(len(rank_cols)))
-        history.append((r, best_w, top["auc"]))
-        step = step / shrink
-        cands = local_lattice(best_w, step)
-    # exact AUC of the winner and of every single column, in one plan
-    scored = df.withColumn("_blend", weighted_blend(rank_cols, best_w))
-    exact = {r["model"]: r["auc"] for r in _exact_aucs(scored, ["_blend", *rank_cols], label).collect()}
-    best_single = max(rank_cols, key=lambda c: (exact[c], -rank_cols.index(c)))
-    if exact["_blend"] >= exact[best_single]:
-        return BlendFit(best_w, None, exact["_blend"], "blend", history)
-    onehot = tuple(1.0 if c == best_single else 0.0 for c in rank_cols)
-    return BlendFit(onehot, None, exact[best_single], best_single, history)
-
-
-def _exact_aucs(df: DataFrame, cols: list[str], label: str) -> DataFrame:
-    from rankforge.operators.metrics import auc_columns
-    return auc_columns(df, cols, label)
-
-
-def fit_two_stage_blend(df: DataFrame, tree_cols: list[str], other: str, label: str,
-                        divisions: int = 10, alpha_steps: int = 10, loss_weight: float = 1e-4,
-                        n_bins: int = N_BINS) -> BlendFit:
-    """X4 (loss_weight=1e-4) / X6 (loss_weight=0): lattice over tree weights x alpha."""
-    cands = simplex_lattice(len(tree_cols), divisions)
-    alphas = [i / alpha_steps for i in range(alpha_steps + 1)]
-    res = lattice_auc(df, tree_cols, label, cands, n_bins, other=other, alphas=alphas,
-                      loss_weight=loss_weight)
-    key = "objective" if loss_weight else "auc"
-    top = _best(res, by=key, ascending=bool(loss_weight)).first()
-    w = tuple(top[f"w{i + 1}"] for i in range(len(tree_cols)))
-    return BlendFit(w, top["alpha"], top["auc"], "blend", [(0, w, top["auc"])])
+        top = lattice_search(df, rank_cols, label, cands, 1, (), other, alphas, loss_weight).first()
+        w = tuple(top[f"w{i + 1}"] for i in range(len(rank_cols)))
+        history.append((r, w, top["alpha"] if other else None, top["auc"]))
+        step, alpha_step = step / shrink, alpha_step / shrink
+        cands = local_lattice(w, step)
+        if other:
+            alphas = sorted({min(1.0, max(0.0, round(top["alpha"] + i * alpha_step, 10))) for i in range(-2, 3)})
+    # refinement only ever looks around the winner, which is itself in the next lattice
+    _, w, alpha, auc = max(history, key=lambda h: h[3])
+    singles = [*rank_cols, *([other] if other else [])]
+    exact = {r["model"]: r["auc"] for r in auc_columns(df, singles, label).collect()}   # one row per column
+    single = max(singles, key=lambda c: (exact[c], -singles.index(c)))
+    if auc >= exact[single]:
+        return BlendFit(w, alpha, auc, "blend", history)
+    onehot = tuple(1.0 if c == single else 0.0 for c in rank_cols) if single in rank_cols else tuple(1.0 / len(rank_cols) for _ in rank_cols)
+    return BlendFit(onehot, None if not other else float(single in rank_cols), exact[single], single, history)
 
 
 # ---------------------------------------------------------------------------------
@@ -251,11 +292,9 @@ def logit_then_rank_blend(df: DataFrame, tree_cols: list[str], tree_w, other: st
 
 
 def per_stratum_winners(df: DataFrame, rank_cols: list[str], label: str, strata: list[str],
-                        divisions: int = 10, n_bins: int = N_BINS) -> DataFrame:
-    """Lattice winner per stratum (e.g. per fold / seed) in one job."""
-    res = lattice_auc(df, rank_cols, label, simplex_lattice(len(rank_cols), divisions),
-                      n_bins, strata=strata)
-    return _best(res, strata)
+                        divisions: int = 10) -> DataFrame:
+    """Lattice winner per stratum (e.g. per fold / seed), by exact AUC."""
+    return lattice_search(df, rank_cols, label, simplex_lattice(len(rank_cols), divisions), 1, strata)
 
 
 def average_weights(winners: DataFrame, rank_cols: list[str]) -> DataFrame:

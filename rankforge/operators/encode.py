@@ -242,6 +242,14 @@ def number_levels(levels: DataFrame) -> DataFrame:
             .select("col", "level", "code", "seen"))
 
 
+def extend_codes(code_map: DataFrame, rows: DataFrame, cols: list[str], token: str = LABEL_MISSING) -> DataFrame:
+    """E3 on new rows: known levels keep their codes, levels only in ``rows`` follow in sorted order."""
+    new = stack_levels(rows.select([F.coalesce(F.col(c).cast("string"), F.lit(token)).alias(c) for c in cols]), cols, [])
+    unseen = new.distinct().join(code_map.select("col", "level"), ["col", "level"], "left_anti")
+    return number_levels(code_map.select("col", "level", F.lit(True).alias("seen"))
+                         .unionByName(unseen.withColumn("seen", F.lit(False))))
+
+
 def unseen_levels(train: DataFrame, apply: DataFrame, cols: list[str],
                   token: str = LABEL_MISSING) -> DataFrame:
     """Classes present in ``apply`` but not in ``train`` (left anti join)."""
@@ -285,13 +293,25 @@ def ordinal_code_map(train: DataFrame, cols: list[str]) -> DataFrame:
 # ---------------------------------------------------------------------------------
 # Standardise after zero fill (population std);  E12: category index
 # ---------------------------------------------------------------------------------
+def _zero_filled(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+
+
+def zero_fill_stats(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
+    """Column -> mean and population deviation (1 if it is 0) after zero fill; one job."""
+    row = train.agg(*[F.avg(_zero_filled(c)).alias(f"m_{c}") for c in cols],
+                    *[F.stddev_pop(_zero_filled(c)).alias(f"s_{c}") for c in cols]).first()
+    return {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] if row[f"s_{c}"] else 1.0) for c in cols}
+
+
+def standardized(stats: dict[str, tuple[float, float]]) -> dict[str, Column]:
+    return {c: (_zero_filled(c) - F.lit(m)) / F.lit(s) for c, (m, s) in stats.items()}
+
+
 def standardize(train: DataFrame, apply_to: list[DataFrame], cols: list[str]) -> list[DataFrame]:
-    z = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
-    row = train.agg(*[F.avg(z[c]).alias(f"m_{c}") for c in cols],
-                    *[F.stddev_pop(z[c]).alias(f"s_{c}") for c in cols]).first()
-    stats = {c: (row[f"m_{c}"], row[f"s_{c}"] if row[f"s_{c}"] else 1.0) for c in cols}
-    return [d.withColumns({c: (z[c] - F.lit(stats[c][0])) / F.lit(stats[c][1]) for c in cols})
-            for d in apply_to]
+    """Zero fill, then (x - mean) / deviation of the training rows."""
+    z = standardized(zero_fill_stats(train, cols))
+    return [d.withColumns(z) for d in apply_to]
 
 
 def category_index(train: DataFrame, apply: DataFrame, cols: list[str]) -> DataFrame:

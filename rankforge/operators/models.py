@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (FMClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +31,16 @@ from rankforge.session import cut_lineage
 
 FEATURES = "features"
 
+# thousands of trees in a row: keep the rows' node ids and cut their lineage now and then
+LONG_FIT = dict(cacheNodeIds=True, checkpointInterval=50)
+
 # FIXED VALUES — preset hyper-parameters (full-size); tests and screening pass
 # smaller ``max_iter`` through ``n_estimators``.
 PRESETS = {
     "gbt_leafwise": dict(kind="gbt", maxIter=2500, stepSize=0.02, maxDepth=8, minInstancesPerNode=120,
-                         subsamplingRate=0.85, featureSubsetStrategy="0.7", seed=42),
+                         subsamplingRate=0.85, featureSubsetStrategy="0.7", seed=42, **LONG_FIT),
     "gbt_depthwise": dict(kind="gbt", maxIter=2500, stepSize=0.02, maxDepth=6, minInstancesPerNode=10,
-                          subsamplingRate=0.85, featureSubsetStrategy="0.65", seed=42),
+                          subsamplingRate=0.85, featureSubsetStrategy="0.65", seed=42, **LONG_FIT),
     "forest": dict(kind="rf", numTrees=300, maxDepth=10, minInstancesPerNode=20, subsamplingRate=0.8,
                    featureSubsetStrategy="sqrt", seed=42),
     "mlp": dict(kind="mlp", hidden=(128, 64), maxIter=100, seed=42),
@@ -103,7 +106,13 @@ class FoldFeatures:
     medians: dict
     te_global: DataFrame
     codes: DataFrame
+    stats: dict                     # E11: mean and deviation of the zero-filled numerics
     feature_cols: list[str] = field(default_factory=list)
+    neural_cols: list[str] = field(default_factory=list)
+
+    def columns(self, family: str) -> list[str]:
+        """Inputs of a family: median-filled for the trees, zero-filled and standardised for the neural ones."""
+        return self.neural_cols if PRESETS[family]["kind"] in ("mlp", "fm") else self.feature_cols
 
 
 def _base(df: DataFrame) -> DataFrame:
@@ -119,39 +128,39 @@ def fit_fold_features(train: DataFrame, label: str, inner_k: int = 5, seed: int
     Training rows get out-of-fold target/frequency encoding over inner folds
     (S4); validation rows later get the frozen global map (E10).
     """
-    # the training part is read by several statistics passes: keep it (memory+disk;
-    # lost blocks are recomputed from lineage) and cut the small fitted maps with
-    # reliable checkpoints so later plans scan a materialised table.
-    inner = SA.stratified_folds(_base(train), inner_k, label, seed=seed, out="_inner").persist()
+    # the training part is read by several statistics passes: store it, and cut the
+    # small fitted maps too, so that later plans scan a written table.
+    inner = cut_lineage(SA.stratified_folds(_base(train), inner_k, label, seed=seed, out="_inner"))
     numeric = [c for c in NUMERIC_COLUMNS + FE.ENGINEERED + list(extra_numeric) if c in inner.columns]
     meds = {r["col"]: r["median"] for r in EN.exact_medians(inner, numeric).collect()}   # one per column
     lv = {c: F.col(f"lvl_{c}") for c in LEVEL_COLS}
     levels_only = [F.col(f"lvl_{c}").alias(c) for c in LEVEL_COLS]
-    oof = cut_lineage(EN.oof_encoding_map(inner.select(label, "_inner", *levels_only),
-                                          LEVEL_COLS, label, "_inner"))
+    oof = EN.oof_encoding_map(inner.select(label, "_inner", *levels_only), LEVEL_COLS, label, "_inner")
     enc_train = EN.apply_oof_encoding(inner, oof, lv, "_inner").drop("_inner")
     te_global = cut_lineage(EN.target_encoding_map(inner.select(label, *levels_only), LEVEL_COLS, label))
     codes = cut_lineage(EN.label_code_map(inner, inner, CATEGORICAL_COLUMNS))
-    plan = FoldFeatures(numeric, meds, te_global, codes)
-    return plan, _finish(plan, enc_train)
+    plan = FoldFeatures(numeric, meds, te_global, codes, EN.zero_fill_stats(inner, numeric))
+    return plan, _finish(plan, enc_train, codes)
 
 
 def transform_fold_features(plan: FoldFeatures, rows: DataFrame) -> DataFrame:
     d = _base(rows)
     lv = {c: F.col(f"lvl_{c}") for c in LEVEL_COLS}
     enc = EN.apply_frozen_encoding(d, plan.te_global, lv)
-    return _finish(plan, enc)
+    return _finish(plan, enc, EN.extend_codes(plan.codes, rows, CATEGORICAL_COLUMNS))
 
 
-def _finish(plan: FoldFeatures, d: DataFrame) -> DataFrame:
+def _finish(plan: FoldFeatures, d: DataFrame, codes: DataFrame) -> DataFrame:
+    scaled = {f"z_{c}": z for c, z in EN.standardized(plan.stats).items()}
     flags = {f"{c}_is_null": F.col(c).isNull().cast("double") for c in plan.numeric}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(plan.medians.get(c) or 0.0)))
               for c in plan.numeric}
-    d = d.withColumns(flags).withColumns(filled)
-    d = EN.apply_codes(d, plan.codes, CATEGORICAL_COLUMNS, token="Missing", unknown=-1)
+    d = d.withColumns(flags).withColumns(scaled).withColumns(filled)
+    d = EN.apply_codes(d, codes, CATEGORICAL_COLUMNS, token="Missing")
     d = d.withColumns({c: F.col(c).cast("double") for c in CATEGORICAL_COLUMNS})
     enc_cols = [f"{c}_{s}" for c in LEVEL_COLS for s in ("te", "freq")]
     plan.feature_cols = plan.numeric + list(flags) + list(CATEGORICAL_COLUMNS) + enc_cols
+    plan.neural_cols = list(scaled) + list(flags) + list(CATEGORICAL_COLUMNS) + enc_cols
     return d
 
 
@@ -161,12 +170,8 @@ def assemble(df: DataFrame, cols: list[str], out: str = FEATURES) -> DataFrame:
 
 def fit_family(name: str, train: DataFrame, label: str, cols: list[str], n_estimators: int | None = None,
                validation_col: str | None = None, overrides: dict | None = None) -> PipelineModel:
-    """Assemble + (scale for neural families) + classifier, fitted as one Pipeline."""
-    stages = [VectorAssembler(inputCols=cols, outputCol="_raw_features", handleInvalid="keep")]
-    if PRESETS[name]["kind"] in ("mlp", "fm"):
-        stages.append(StandardScaler(inputCol="_raw_features", outputCol=FEATURES, withMean=True, withStd=True))
-    else:
-        stages[0].setOutputCol(FEATURES)
+    """Assemble + classifier, fitted as one Pipeline."""
+    stages = [VectorAssembler(inputCols=cols, outputCol=FEATURES, handleInvalid="keep")]
     stages.append(estimator(name, label, len(cols), n_estimators, overrides=overrides,
                             validation_col=validation_col))
     return Pipeline(stages=stages).fit(train)

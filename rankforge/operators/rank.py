@@ -103,6 +103,11 @@ def prefix_sums(table: DataFrame, value: str, strata, sum_cols: list[str],
     return out.drop(BUCKET, *[f"_off_{c}" for c in sum_cols])
 
 
+def gauss_of_pct(pct: Column, eps: float = GAUSS_CLIP) -> Column:
+    """W3 from W2: normal quantile of the percentile rank, kept off 0 and 1; NULL stays NULL."""
+    return F.when(pct.isNotNull(), probit(F.least(F.greatest(pct, F.lit(eps)), F.lit(1.0 - eps))))
+
+
 def rank_table(df: DataFrame, value: str, strata=(), label: str | None = None,
                n_buckets: int | None = None, splits: Splits | None = None,
                eps: float = GAUSS_CLIP) -> tuple[DataFrame, Splits]:
@@ -114,8 +119,7 @@ def rank_table(df: DataFrame, value: str, strata=(), label: str | None = None,
     t = _with_totals(t, strata, "n", splits.total)
     t = t.withColumn("avg_rank", F.col("before_n") + (F.col("n") + F.lit(1)) / F.lit(2.0))
     t = t.withColumn("pct_rank", (F.col("avg_rank") - F.lit(0.5)) / F.col("total_n"))
-    t = t.withColumn("gauss_rank", probit(F.least(F.greatest(F.col("pct_rank"), F.lit(eps)),
-                                                  F.lit(1.0 - eps))))
+    t = t.withColumn("gauss_rank", gauss_of_pct(F.col("pct_rank"), eps))
     return t, splits
 
 
@@ -210,8 +214,7 @@ def percentile_rank_columns(df: DataFrame, cols: list[str], strata=(), prefix: s
                       + (F.col("n") + F.lit(1)) / F.lit(2.0)))
     t = t.withColumn("pct_rank", (F.col("avg_rank") - F.lit(0.5)) / F.col("_tot"))
     if kind == "gauss_rank":
-        t = t.withColumn("gauss_rank", probit(F.least(F.greatest(F.col("pct_rank"), F.lit(eps)),
-                                                      F.lit(1.0 - eps))))
+        t = t.withColumn("gauss_rank", gauss_of_pct(F.col("pct_rank"), eps))
     t = cut_lineage(t.select("model", *strata, "value", "n", kind))
     sizes = {r["model"]: int(r["rows"]) for r in
              t.groupBy("model").agg(F.count(F.lit(1)).alias("rows")).collect()}      # one row per column

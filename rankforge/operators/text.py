@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # FIXED VALUES — extraction patterns
 FENCE = "```"
 JSON_FENCE = "```json"
+FUNCTION_NAME = "add_new_features"
+FUNCTION_PATTERN = r"```(?:python)?\s*(def\s+add_new_features[\s\S]*?)```"
 _WS = r"[ \t\n\r\f\x0B]"
 
 
@@ -21,11 +23,10 @@ def strip_ws(x: Column) -> Column:
     return F.regexp_replace(x, rf"^{_WS}+|{_WS}+$", "")
 
 
-def fenced_function(text: Column, name: str = "add_new_features") -> tuple[Column, Column]:
-    """(code, found): code of the fenced block defining ``name`` or the fallback."""
-    pattern = r"```(?:python)?\s*(def\s+" + name + r"[\s\S]*?)```"
-    fenced = F.regexp_extract(text, pattern, 1)
-    marker = f"def {name}"
+def fenced_function(text: Column) -> tuple[Column, Column]:
+    """(code, found): code of the fenced block defining the function or the fallback."""
+    fenced = F.regexp_extract(text, FUNCTION_PATTERN, 1)
+    marker = f"def {FUNCTION_NAME}"
     pos = F.instr(text, marker)
     tail = F.substring(text, pos, F.length(text))
     fallback = strip_ws(F.try_element_at(F.split(tail, FENCE, 2), F.lit(1)))

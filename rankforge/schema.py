@@ -54,12 +54,7 @@ BOUNDS = {
     "weekend_screen_time": (0.0, 48.0),
 }
 
-# ---- fixed values: category vocabularies ----------------------------------------
-VOCABULARY = {
-    "gender": ["Male", "Female", "Other"],
-    "stress_level": ["Low", "Medium", "High"],
-    "academic_work_impact": ["No", "Yes"],
-}
+# ---- fixed values: order of the stress levels ------------------------------------
 STRESS_ORDINAL = {"Low": 1, "Medium": 2, "High": 3}
 
 # ---- fixed values: encoder settings ---------------------------------------------

@@ -10,9 +10,11 @@ back to a machine-local temp folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,7 +74,12 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def default_buckets(spark: SparkSession, floor: int = 64, cap: int = 16384) -> int:
-    """Number of range buckets for distributed ranks: ~4 per shuffle partition."""
+    """Number of range buckets for distributed ranks: ~4 per shuffle partition.
+
+    ``floor`` and ``cap`` bound the offsets table (strata x buckets rows, which
+    is broadcast); beyond the cap a bucket's sort grows with the data and spills.
+    They choose the plan, never the rows.
+    """
     try:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always present in practice
@@ -80,5 +87,22 @@ def default_buckets(spark: SparkSession, floor: int = 64, cap: int = 16384) -> i
     return max(floor, min(cap, 4 * parts))
 
 
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per session: functions that
+    run there are found by import, wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rankforge_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="rankforge-code-")) / "rankforge_code.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(target))
+    sc._rankforge_shipped = True
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(run, schema)

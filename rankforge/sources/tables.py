@@ -22,21 +22,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Guard against scans that yield fewer splits than the cluster has cores.
-
-    Used in front of explode-heavy operators (the lattice search multiplies
-    every row by the number of candidates): if the input arrives in fewer
-    partitions than the cluster has cores (one row group, or a shuffle output
-    coalesced by AQE), it is spread round-robin first; a normal large input
-    is left untouched, so no extra shuffle happens at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Trap T1: NULL is the only missing marker; NaN becomes NULL at ingest."""
     doubles = {f.name for f in df.schema.fields
