@@ -27,7 +27,7 @@ from rankforge.operators import sampling as SA
 from rankforge.operators.blend import uniform_blend
 from rankforge.plans import cv as CV
 from rankforge.plans import search as SE
-from rankforge.schema import LABEL, TE_SMOOTHING
+from rankforge.schema import LABEL, PROMOTION_DELTA, TE_SMOOTHING
 from rankforge.session import cut_lineage, scratch_path
 from rankforge.sources import sinks as SK
 from rankforge.sources.fixture import behaviour_view, scored_view, with_fixture
@@ -153,24 +153,42 @@ def q_c7(spark, sf):
     return GA.fold_progress(cached_cv(spark, sf).oof, CV_K)
 
 
-@register("a6_artifact_roundtrip")
+@register("a6_artifact_roundtrip", with_fixture("SELECT id, true AS same_scores FROM sx WHERE split = 'test'", scores=True))
 def q_a6(spark, sf):
-    res = cached_cv(spark, sf)
-    model = res.models[(0, "forest")]
-    path = SK.save_model(model, scratch_path(spark, "model-fold0-forest"))
-    loaded = SK.load_pipeline_model(path)
-    plan = res.plans[0]
-    rows = MO.transform_fold_features(plan, _raw_test(spark, sf)).select("id", *plan.feature_cols)
-    a = MO.score_family(model, "forest", rows, "p_saved").select("id", "p_saved")
-    b = MO.score_family(loaded, "forest", rows, "p_loaded").select("id", "p_loaded")
-    return a.join(b, ["id"], "inner").withColumn("same", F.col("p_saved") == F.col("p_loaded"))
+    """Encoders, medians, codes, all fold models, the OOF table and the stacker, saved and loaded, score as before."""
+    from rankforge.plans import artifact as AR
+    from rankforge.plans import score as SC
+    res, rows = cached_cv(spark, sf), _raw_test(spark, sf)
+    stacker = SC.fit_stacker(res, CV.DEFAULT_FAMILIES, LABEL)
+    path = AR.save_run(res, stacker, scratch_path(spark, "run-artifact"))
+    loaded, again = AR.load_run(spark, path)
+    a = SC.score_batch(res, rows, CV.DEFAULT_FAMILIES, stacker).scores
+    b = SC.score_batch(loaded, rows, CV.DEFAULT_FAMILIES, again).scores.withColumnRenamed("score", "_again")
+    return a.join(b, "id").select("id", (F.abs(F.col("score") - F.col("_again")) < 1e-12).alias("same_scores"))
 
 
 @register("c4_feature_candidate_gate")
 def q_c4(spark, sf):
-    df = SA.seeded_sample(_raw_train(spark, sf), 3000, seed=SEED)    # proxy sample (S3)
-    return SE.feature_search(df, LABEL, ["screen_social_interaction", "noop", "CDUR"], rounds=1, k=2,
-                             n_estimators=3)
+    """Three folds on the 15,000-row proxy sample, two families of few trees."""
+    return _gate(spark, sf)
+
+
+def _gate(spark, sf):
+    return SE.feature_search(_raw_train(spark, sf), LABEL, ["screen_social_interaction", "noop", "CDUR"],
+                             families=("gbt_depthwise", "forest"), n_estimators=3)
+
+
+@register("c4_gate_checks", """
+SELECT candidate, CAST(new AS INTEGER) AS new_columns, true AS status_follows, count(*) > 0 AS screened
+FROM orders CROSS JOIN (VALUES ('screen_social_interaction', 1), ('noop', 0), ('CDUR', 1)) c(candidate, new)
+GROUP BY candidate, new""")
+def q_c4_checks(spark, sf):
+    """A candidate without a new column is not evaluated; the others are promoted from a gain of 0.0003 on."""
+    g = _gate(spark, sf)
+    want = (F.when(F.col("new_columns") < 1, F.lit("no_new_column"))
+            .when(F.col("delta") >= PROMOTION_DELTA, F.lit("promoted")).otherwise(F.lit("rejected")))
+    return g.select("candidate", "new_columns", (F.col("status") == want).alias("status_follows"),
+                    (F.col("new_columns").isNotNull()).alias("screened"))
 
 
 # ---------------------------------------------------------------------------------

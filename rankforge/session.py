@@ -19,6 +19,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = 8 << 20
+
+
 def get_session(cores: int | str = "*", shuffle_partitions: int = 8,
                 app: str = "rankforge", driver_memory: str = "16g") -> SparkSession:
     """Local session for tests and the bench; cluster jobs bring their own."""
@@ -103,6 +107,13 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
-    ship_code(df.sparkSession)
+    """``mapInArrow`` with a function of this package.
+
+    Asks the session for Arrow batches of at most ``BATCH_BYTES``: a batch is held by
+    the JVM and by the Python worker of every running task, several times over
+    while it grows.
+    """
+    spark = df.sparkSession
+    ship_code(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     return df.mapInArrow(run, schema)
