@@ -35,8 +35,9 @@ from rankforge.llm.common import map_arrow, read, scan_groups, shared_table
 from rankforge.llm.embedding_dedup import usable
 
 SEED = 20240611
-#: Rows the centres are fitted on, at most; lists, at most; share of the lists a query visits, and how many at least.
-SAMPLE_ROWS, LISTS_MOST, PROBED, LEAST_VISITS = 20_000, 1024, 0.7, 32
+#: Rows the centres are fitted on, at most; lists, at most; share of the lists a query visits, how many
+#: at least, and the share it visits first, for its bound.
+SAMPLE_ROWS, LISTS_MOST, PROBED, LEAST_VISITS, FIRST = 20_000, 1024, 0.75, 32, 0.05
 #: Rotated columns summed up between two tests; the test's margin: a row is
 #: abandoned if its scaled partial distance is over (1 + MARGIN / sqrt(columns seen)) times the k-th best.
 COLUMNS, MARGIN = 16, 2.1
@@ -69,43 +70,59 @@ def nearest(rows: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     return np.argmin(far, 1)[:, None] if n == 1 else np.argsort(far, 1, kind="stable")[:, :n]
 
 
-def scan_block(queries: np.ndarray, rows: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def scan_block(queries: np.ndarray, rows: np.ndarray, own: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) index pairs that survive the adaptive scan of rotated
-    vectors.  ``own`` marks pairs that must not meet."""
+    vectors.  ``own`` marks pairs that must not meet; ``bound`` is each query's
+    squared distance of the k-th best so far (infinite if not known)."""
     size = rows.shape[1]
     cuts = [*range(COLUMNS, size, COLUMNS), size]
     n = cuts[0]
-    part = ((queries[:, :n] ** 2).sum(1)[:, None] + (rows[:, :n] ** 2).sum(1) - 2 * queries[:, :n] @ rows[:, :n].T)
+    part = (queries[:, :n] ** 2).sum(1)[:, None] + (rows[:, :n] ** 2).sum(1) - 2 * queries[:, :n] @ rows[:, :n].T
     part[own] = np.inf
-    if rows.shape[0] <= k:
-        return np.nonzero(~own)
-    # the k that look nearest so far give a distance that the k-th best cannot exceed
-    look = np.argpartition(part, k - 1, axis=1)[:, :k]
-    full = ((queries[:, None, :] - rows[look]) ** 2).sum(2)
-    full[np.take_along_axis(own, look, 1)] = np.inf
-    bound = full.max(1) * (1 + 1e-9) + 1e-12
+    new = np.flatnonzero(np.isinf(bound))
+    if new.size and len(rows) > k:
+        # the k that look nearest after the first columns: their distances bound the k-th best
+        look = np.argpartition(part[new], k - 1, axis=1)[:, :k]
+        full = ((queries[new][:, None, :] - rows[look]) ** 2).sum(2)
+        full[own[new[:, None], look]] = np.inf
+        bound = bound.copy()
+        bound[new] = full.max(1)
+    bound = bound * (1 + 1e-9) + 1e-9  # rounding must not lose a row at the bound itself
     q, r = np.nonzero(part * (size / n) <= (bound * (1 + MARGIN / np.sqrt(n)) ** 2)[:, None])
+    mine = ~own[q, r]
+    q, r = q[mine], r[mine]
     some = part[q, r]
     for a, b in zip(cuts, cuts[1:]):
         some = some + ((queries[q, a:b] - rows[r, a:b]) ** 2).sum(1)
         margin = 1.0 if b == size else (1 + MARGIN / np.sqrt(b)) ** 2
         near = some * (size / b) <= bound[q] * margin
         q, r, some = q[near], r[near], some[near]
-    # what the first look found stays in, whatever rounding did to its sum
-    at = np.isfinite(full)
-    pair = np.unique(np.concatenate([q * len(rows) + r, np.repeat(np.arange(len(queries)), k)[at.ravel()] * len(rows) + look[at]]))
-    return pair // len(rows), pair % len(rows)
+    return q, r
+
+
+def best_of(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Indexes of the k best of each query: highest score, then smaller id."""
+    order = np.lexsort((ids, -score, q))
+    first = np.flatnonzero(np.diff(q[order], prepend=-1))
+    place = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+    return order[place < k]
 
 
 def search(vectors: DataFrame, asks: Column, k: int = 20, probed: float = PROBED) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows of every row of (vec_id, embedding) that ``asks``."""
+    """(query_id, rank, vec_id, score): the k nearest rows of every row of (vec_id, embedding) that ``asks``.
+
+    Each query first scans the few lists nearest to it; the k-th best score
+    found there is the bound it takes to all its other lists.
+    """
     spark = vectors.sparkSession
+    # single precision is kept as it came; everything is computed in double
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = usable(batch.column(2))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([None if a is None else a.tobytes() for a in rows], pa.binary()),
+                batch.column(0), batch.column(1), pa.array([None if a is None else a.astype(kind).tobytes() for a in rows], pa.binary()),
                 pa.array([0 if a is None else len(a) for a in rows], pa.int32()),
                 pa.array([0.0 if a is None else float(a @ a) for a in rows])], ["vec_id", "asks", "vector", "length", "norm2"])
 
@@ -123,81 +140,92 @@ def search(vectors: DataFrame, asks: Column, k: int = 20, probed: float = PROBED
               .filter(F.pmod("h", F.lit(1 << 20)) < min(1 << 20, (2 * SAMPLE_ROWS << 20) // total + 1))
               .orderBy("h", "vector").limit(SAMPLE_ROWS).select("vector").collect())
 
+    def matrix(raw: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(raw), dtype=kind).reshape(len(raw), size).astype(np.float64)
+
     def extended(m: np.ndarray, ask: bool) -> np.ndarray:
         more = np.zeros(len(m)) if ask else np.sqrt(np.maximum(most - (m * m).sum(1), 0))
         return np.column_stack([m, more])
 
-    def matrix(raw: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(raw), dtype=np.float64).reshape(len(raw), -1)
-
     sample = extended(matrix([r[0] for r in picked]), False)
-    lists = max(1, min(LISTS_MOST, int(total ** 0.5), len(sample)))
+    lists = max(1, min(LISTS_MOST, int(total ** 0.5 / 2), len(sample)))
     visits = min(lists, max(LEAST_VISITS, int(np.ceil(lists * probed))))
+    first = min(visits, max(1, int(np.ceil(lists * FIRST))))
     index = spark.sparkContext.broadcast((fit_centres(sample, lists), rotation(size + 1)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, turn = index.value
+        centres, _ = index.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             m = matrix(batch.column(2).to_pylist())
-            own = extended(m, False)
             ask = np.array(batch.column(1).to_pylist(), dtype=bool)
             visit = np.array([None] * len(m), dtype=object)
             for i, x in zip(np.flatnonzero(ask), nearest(extended(m[ask], True), centres, visits) if ask.any() else ()):
-                visit[i] = x
+                visit[i] = x.reshape(-1)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2), pa.array([x.tobytes() for x in own @ turn], pa.binary()),
-                pa.array([x.tobytes() if a else None for a, x in zip(ask, extended(m, True) @ turn)], pa.binary()),
-                pa.array(nearest(own, centres, 1)[:, 0], pa.int32()), pa.array(visit.tolist(), pa.list_(pa.int32()))],
-                ["vec_id", "vector", "turned", "asked", "list", "visits"])
+                batch.column(0), batch.column(2), pa.array(nearest(extended(m, False), centres, 1)[:, 0], pa.int32()),
+                pa.array(visit.tolist(), pa.list_(pa.int32()))], ["vec_id", "vector", "list", "visits"])
 
     listed = shared_table(map_arrow(usable_rows.select("vec_id", "asks", "vector"), assign,
-                                    "vec_id long, vector binary, turned binary, asked binary, list int, visits array<int>"), "ann")
-    rows = listed.select("vec_id", "vector", "turned", "list")
+                                    "vec_id long, vector binary, list int, visits array<int>"), "ann")
+    rows = listed.select("vec_id", "vector", "list")
     one = Window.partitionBy("vec_id").orderBy("vector")
-    queries = (listed.filter("asked is not null").withColumn("_one", F.row_number().over(one)).filter("_one = 1")
-               .select("vec_id", "vector", F.col("asked").alias("turned"), F.explode("visits").alias("list")))
-    # at most LISTS_MOST rows
-    plan = F.broadcast(rows.groupBy("list").agg(F.count(F.lit(1)).alias("_rows")).join(
-        queries.groupBy("list").agg(F.count(F.lit(1)).alias("_queries")), "list").select(
-        "list", F.ceil(F.col("_rows") / ROWS).cast("int").alias("_mr"), F.ceil(F.col("_queries") / QUERIES).cast("int").alias("_mq")))
-
-    def laid(df: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
-        mine, theirs = (("q", "r") if asks else ("r", "q"))
-        return (df.join(plan, "list").withColumn(mine, F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col(own)).cast("int"))
-                .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-                .select("list", "r", "q", F.lit(asks).alias("asks"), "vec_id", "vector", "turned"))
-
-    blocks = laid(rows, "_mr", "_mq", False).unionByName(laid(queries, "_mq", "_mr", True))
+    queries = shared_table(listed.filter("visits is not null").withColumn("_one", F.row_number().over(one)).filter("_one = 1")
+                           .select("vec_id", "vector", "visits"), "ann")
 
     def kernel(cols: dict[str, np.ndarray], gid: np.ndarray) -> Iterator[pa.RecordBatch]:
+        turn = index.value[1]
         cuts = np.flatnonzero(np.diff(gid, prepend=-1, append=gid[-1] + 1))
         for a, b in zip(cuts, cuts[1:]):
-            at = np.arange(a, b)
             ask = cols["asks"][a:b].astype(bool)
-            qi, ri = at[ask], at[~ask]
+            qi, ri = a + np.flatnonzero(ask), a + np.flatnonzero(~ask)
             if not qi.size or not ri.size:
                 continue
-            own = cols["vec_id"][qi][:, None] == cols["vec_id"][ri]
-            q, r = scan_block(matrix([*cols["turned"][qi]]), matrix([*cols["turned"][ri]]), own, k)
+            left, right = matrix([*cols["vector"][qi]]), matrix([*cols["vector"][ri]])
+            ids, floor = cols["vec_id"][ri], cols["floor"][qi]
+            own = cols["vec_id"][qi][:, None] == ids
+            # of unit k-th score s the squared distance is |q|^2 + M^2 - 2 s
+            q, r = scan_block(extended(left, True) @ turn, extended(right, False) @ turn, own, (left * left).sum(1) + most - 2 * floor, k)
             if not q.size:
                 continue
-            left, right = matrix([*cols["vector"][qi]]), matrix([*cols["vector"][ri]])
             score = np.concatenate([(left[q[i:i + 65536]] * right[r[i:i + 65536]]).sum(1) for i in range(0, len(q), 65536)])
-            ids = cols["vec_id"][ri][r]
-            order = np.lexsort((ids, -score, q))
-            q, ids, score = q[order], ids[order], score[order]
-            first = np.flatnonzero(np.diff(q, prepend=-1))
-            place = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
-            best = place < k
-            yield pa.RecordBatch.from_arrays([pa.array(cols["vec_id"][qi][q[best]]), pa.array(ids[best]), pa.array(score[best])],
-                                             ["query_id", "vec_id", "score"])
-
-    found = scan_groups(blocks, ["list", "r", "q"], kernel, "query_id long, vec_id long, score double",
-                        ["asks", "vec_id", "vector", "turned"])
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            near = score >= floor[q]
+            q, r, score = q[near], r[near], score[near]
+            best = best_of(q, ids[r], score, k)
+            if best.size:
+                yield pa.RecordBatch.from_arrays([pa.array(cols["vec_id"][qi][q[best]]), pa.array(ids[r[best]]), pa.array(score[best])],
+                                                 ["query_id", "vec_id", "score"])
+
+    def scan(asking: DataFrame) -> DataFrame:
+        """Of queries (vec_id, vector, floor, list) and all rows of their lists; blocks of both meet."""
+        # at most LISTS_MOST rows
+        plan = F.broadcast(rows.groupBy("list").agg(F.count(F.lit(1)).alias("_rows")).join(
+            asking.groupBy("list").agg(F.count(F.lit(1)).alias("_queries")), "list").select(
+            "list", F.ceil(F.col("_rows") / ROWS).cast("int").alias("_mr"), F.ceil(F.col("_queries") / QUERIES).cast("int").alias("_mq")))
+
+        def laid(df: DataFrame, mine: str, own: str, theirs: str, other: str) -> DataFrame:
+            return (df.join(plan, "list").withColumn(mine, F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col(own)).cast("int"))
+                    .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                    .select("list", "r", "q", F.lit(mine == "q").alias("asks"), "vec_id", "vector", "floor"))
+
+        blocks = laid(rows.withColumn("floor", F.lit(0.0)), "r", "_mr", "q", "_mq").unionByName(laid(asking, "q", "_mq", "r", "_mr"))
+        return scan_groups(blocks, ["list", "r", "q"], kernel, "query_id long, vec_id long, score double",
+                           ["asks", "vec_id", "vector", "floor"])
+
+    def ranked(found: DataFrame) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+    unknown = F.lit(float("-inf"))
+    near = shared_table(ranked(scan(queries.select("vec_id", "vector", unknown.alias("floor"),
+                                                   F.explode(F.slice("visits", 1, first)).alias("list")))).drop("rank"), "ann")
+    if visits > first:
+        floors = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
+        rest = queries.join(floors, "vec_id", "left").select(
+            "vec_id", "vector", F.coalesce("floor", unknown).alias("floor"), F.explode(F.slice("visits", first + 1, visits)).alias("list"))
+        near = near.unionByName(scan(rest))
+    return ranked(near).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
