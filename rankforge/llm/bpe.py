@@ -36,10 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import map_arrow, read
-from rankforge.llm.runs import RunMemo, ship
+from rankforge.llm.runs import RunMemo, chained, ship, split_runs, text_chunks
 
 #: Words of more parts than this are merged with a heap.
 SCAN_MOST = 64
+#: Bytes of text looked at together, and runs remembered: a run's two texts take more room than its ids.
+TEXT_BYTES, MEMO_RUNS = 8 << 20, 300_000
 _NONE = np.iinfo(np.int32).max
 
 
@@ -128,29 +130,35 @@ class WordBpe:
 
     def _merge_rows(self, ids: np.ndarray) -> list[list[int]]:
         """Rows of parts, padded with -1 on the right, merged until no neighbours have a rank."""
-        done: list = [None] * len(ids)
+        final = np.full(ids.shape, -1, dtype=np.int32)
         row = np.arange(len(ids))
         ranks = self.ranks.of(ids[:, :-1], ids[:, 1:])
         while row.size:
-            at = ranks.argmin(1) if ranks.shape[1] else np.zeros(len(row), dtype=np.int64)
+            width = ids.shape[1] - 1
             r = np.arange(len(row))
-            low = ranks[r, at] if ranks.shape[1] else np.full(len(row), _NONE)
-            live = low != _NONE
-            for i in np.flatnonzero(~live).tolist():
-                done[row[i]] = ids[i][ids[i] >= 0].tolist()
-            if not live.any():
-                break
-            ids, ranks, row, at, low = ids[live], ranks[live], row[live], at[live], low[live]
-            r, width = np.arange(len(row)), ids.shape[1] - 1
+            at = ranks.argmin(1) if width else np.zeros(len(row), dtype=np.int64)
+            low = ranks[r, at] if width else np.full(len(row), _NONE)
+            over = np.flatnonzero(low == _NONE)
+            if over.size:
+                final[row[over], :width + 1] = ids[over]
+                live = low != _NONE
+                ids, ranks, row, at, low = ids[live], ranks[live], row[live], at[live], low[live]
+                if not row.size:
+                    break
+                r = r[:len(row)]
             ids[r, at] = self.made[low]
-            column = np.arange(width)
-            ids = np.take_along_axis(ids, column + (column > at[:, None]), 1)
-            ranks = np.take_along_axis(ranks, column[:-1] + (column[:-1] >= at[:, None]), 1)
+            # delete the boundary after the part that was made: all behind it move up by one
+            column = np.arange(width, dtype=np.int8 if width < 127 else np.int64)
+            behind = column > at[:, None]
+            ids = np.where(behind, ids[:, 1:], ids[:, :-1])
+            ranks = np.where(behind[:, 1:] | (column[:-1] == at[:, None]), ranks[:, 1:], ranks[:, :-1])
             right = np.flatnonzero(at < width - 1)
-            ranks[right, at[right]] = self.ranks.of(ids[right, at[right]], ids[right, at[right] + 1])
+            at_right = at[right]
+            ranks[right, at_right] = self.ranks.of(ids[right, at_right], ids[right, at_right + 1])
             left = np.flatnonzero(at > 0)
-            ranks[left, at[left] - 1] = self.ranks.of(ids[left, at[left] - 1], ids[left, at[left]])
-        return done
+            at_left = at[left]
+            ranks[left, at_left - 1] = self.ranks.of(ids[left, at_left - 1], ids[left, at_left])
+        return [x[:n] for x, n in zip(final.tolist(), (final >= 0).sum(1).tolist())]
 
     def _merge_heap(self, ids: list[int]) -> list[int]:
         n, get = len(ids), self.pairs.get
@@ -177,27 +185,24 @@ class WordBpe:
 
     def merge(self, pieces: list[str]) -> dict[str, list[int]]:
         """Ids of each distinct word, already normalised and split."""
-        raw = sorted(((p.encode(), p) for p in pieces), key=lambda x: len(x[0]))
-        out = {}
-        while raw and len(raw[-1][0]) > SCAN_MOST:
-            word, piece = raw.pop()
-            got = np.frombuffer(word, dtype=np.uint8)
-            out[piece] = self._merge_heap([*self.first[got[:-1]].tolist(), int(self.last[got[-1]])])
-        at = 0
-        while at < len(raw):
-            width = len(raw[at][0])
-            wide = max(8, 2 * width)
-            to = at
-            while to < len(raw) and len(raw[to][0]) <= wide:
-                to += 1
-            sizes = np.array([len(x[0]) for x in raw[at:to]])
-            wide = int(sizes[-1])
-            got = np.frombuffer(b"".join([x[0].ljust(wide, b"\0") for x in raw[at:to]]), dtype=np.uint8).reshape(-1, wide)
+        raw = [p.encode() for p in pieces]
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        order = np.argsort(sizes, kind="stable")
+        out, at = {}, 0
+        while at < len(order) and sizes[order[at]] <= SCAN_MOST:
+            wide = min(max(6, 3 * int(sizes[order[at]]) // 2), SCAN_MOST)
+            to = int(np.searchsorted(sizes[order], wide, side="right"))
+            own, n = order[at:to], sizes[order[at:to]]
+            wide = int(n[-1])
+            got = np.frombuffer(b"".join([raw[i].ljust(wide, b"\0") for i in own.tolist()]), dtype=np.uint8).reshape(-1, wide)
             ids = self.first[got]
-            ids[np.arange(wide) >= sizes[:, None]] = -1
-            ids[np.arange(len(ids)), sizes - 1] = self.last[got[np.arange(len(ids)), sizes - 1]]
-            out.update(zip([x[1] for x in raw[at:to]], self._merge_rows(ids)))
+            ids[np.arange(wide) >= n[:, None]] = -1
+            ids[np.arange(len(ids)), n - 1] = self.last[got[np.arange(len(ids)), n - 1]]
+            out.update(zip([pieces[i] for i in own.tolist()], self._merge_rows(ids)))
             at = to
+        for i in order[at:].tolist():
+            got = np.frombuffer(raw[i], dtype=np.uint8)
+            out[pieces[i]] = self._merge_heap([*self.first[got[:-1]].tolist(), int(self.last[got[-1]])])
         return out
 
     def split(self, texts: list[str]) -> list[list]:
@@ -228,7 +233,8 @@ class WordBpe:
         """Ids of each text that has no line feed."""
         split = self.split(texts)
         ids = self.merge([*{p for own in split for p in own if isinstance(p, str)}])
-        return [[i for p in own for i in (ids[p] if isinstance(p, str) else (p,))] for own in split]
+        return [ids[own[0]] if len(own) == 1 and isinstance(own[0], str) else
+                [i for p in own for i in (ids[p] if isinstance(p, str) else (p,))] for own in split]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by a blank, as a file without a decoder says."""
@@ -239,16 +245,21 @@ _loaded: dict[str, RunMemo] = {}
 
 
 def memo_of(name: str) -> RunMemo:
-    """One per worker and vocabulary: (number of ids, ids as text, decoded text) of a run."""
+    """One per worker and vocabulary: of a run the ids and the decoded text, each
+    with a blank after every token, and the number of ids."""
     if name not in _loaded:
         with open(SparkFiles.get(name), encoding="utf-8") as f:
             bpe = WordBpe(json.load(f))
-        digits = {i: str(i) for i in bpe.token}
+        digits = [f"{i} " for i in range(max(bpe.token) + 1)]
 
-        def make(runs: list[str]) -> list[tuple[int, str, str]]:
-            return [(len(ids), " ".join([digits[i] for i in ids]), bpe.decode(ids)) for ids in bpe.encode(runs)]
+        def make(runs: list[str]) -> list[tuple[bytes, bytes, int]]:
+            return [("".join([digits[i] for i in ids]).encode(), (bpe.decode(ids) + " " * bool(ids)).encode(), len(ids))
+                    for ids in bpe.encode(runs)]
 
-        _loaded[name] = RunMemo(make)
+        def chain(a: tuple, b: tuple) -> tuple[bytes, bytes, int]:
+            return a[0] + b[0], a[1] + b[1], a[2] + b[2]
+
+        _loaded[name] = RunMemo(make, chain, (b"", b"", 0), MEMO_RUNS)
     return _loaded[name]
 
 
@@ -259,24 +270,26 @@ def tokenize(docs: DataFrame, vocabulary: str, ids: bool = False) -> DataFrame:
     name = ship(docs.sparkSession, vocabulary)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
 
+    def digests(flat: memoryview, cuts: list[int]) -> pa.Array:
+        # without the blank after the last token
+        return pa.array([hashlib.sha256(flat[a:max(a, b - 1)]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, sha = memo_of(name), hashlib.sha256
-        for batch in batches:
-            n, a, b, own = [], [], [], []
-            for got in memo.of(batch.column(1).to_pylist()):
-                got = [x for x in got if x[0]]
-                n.append(sum([x[0] for x in got]))
-                joined = " ".join([x[1] for x in got])
-                a.append(sha(joined.encode()).hexdigest())
-                b.append(sha(" ".join([x[2] for x in got]).encode()).hexdigest())
-                if ids:
-                    own.append(np.array(joined.split(), dtype=np.int32))
-            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+        memo = memo_of(name)
+        for batch in text_chunks(batches, 1, TEXT_BYTES):
+            firsts, indices, distinct = split_runs(batch.column(1))
+            known = memo.of(distinct)
+            numbers, at = chained([x[0] for x in known], indices)
+            cuts = at[firsts].tolist()
+            tokens, at = chained([x[1] for x in known], indices)
+            counts = np.concatenate(([0], np.cumsum(np.array([x[2] for x in known], dtype=np.int64)[indices.to_numpy()])))[firsts]
+            cols = [batch.column(0), pa.array(np.diff(counts)), digests(numbers, cuts), digests(tokens, at[firsts].tolist())]
             if ids:
-                cols.append(pa.array(own, pa.list_(pa.int32())))
+                flat = np.fromstring(bytes(numbers[:cuts[-1]]), dtype=np.int32, sep=" ")
+                cols.append(pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat)))
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(cols)])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")), run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.make_valid_utf8("text")), run, schema)
 
 
 def default_vocabulary() -> str:

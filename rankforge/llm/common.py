@@ -3,17 +3,14 @@ skew-proof lookup join, blocked bucket self-joins and connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.session import checkpoint_dir, scratch_path
+from rankforge.session import checkpoint_dir, map_arrow, scratch_path
 
 #: What counts as white space between words: blank and 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,26 +30,6 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Sends this package to the executors, once per session: functions that
-    run there are found by import, wherever the driver was started."""
-    sc = spark.sparkContext
-    if getattr(sc, "_rankforge_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="rankforge-code-")) / "rankforge_code.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent).as_posix())
-    sc.addPyFile(str(target))
-    sc._rankforge_shipped = True
-
-
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    ship_code(df.sparkSession)
-    return df.mapInArrow(run, schema)
-
-
 def lookup_join(rows: DataFrame, table: DataFrame, key: str | list[str], count: str, hot_share: int = 1000) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key), safe when one
     key holds a third of all rows.

@@ -1,45 +1,127 @@
-"""Tokenizing whole texts run by run: no token spans ASCII white space, so every
-distinct run between is tokenized once per worker and remembered."""
+"""Tokenizing whole texts run by run: no token spans ASCII white space, so a
+text is the chain of its runs between, and a distinct run is tokenized once per
+worker and remembered.  Splitting, finding the distinct runs of a batch and
+chaining their values are done on whole Arrow columns."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-#: Bytes of text whose runs are looked at together; runs a worker remembers; the longest one remembered.
-CHUNK_BYTES, MEMO_MOST, MEMO_LONGEST = 2 << 20, 800_000, 64
+#: Bytes of text that are split together; runs a worker remembers; the longest one remembered.
+CHUNK_BYTES, MEMO_MOST, MEMO_LONGEST = 16 << 20, 400_000, 64
+#: Marks that no word holds: a word and the marks after it are tokenized apart.
+MARKS = ".,!?;:"
+
+
+def split_runs(texts: pa.StringArray) -> tuple[np.ndarray, pa.Array, list[str]]:
+    """Where each text's runs begin in the list of all runs, the runs as indexes,
+    and the distinct runs.
+
+    Texts are put in ASCII lower case, but for those that may hold a special
+    token, which is told apart by case.
+    """
+    plain = pc.fill_null(texts, "")
+    plain = pc.if_else(pc.match_substring(plain, "<"), plain, pc.ascii_lower(plain))
+    runs = pc.ascii_split_whitespace(plain)
+    del plain
+    found = runs.flatten().dictionary_encode()
+    firsts = runs.offsets.to_numpy().astype(np.int64) - runs.offsets[0].as_py()
+    return firsts, found.indices, found.dictionary.to_pylist()
+
+
+def chained(values: list[bytes], indices: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The values of all runs in order, one after the other, and where each begins."""
+    taken = pa.array(values, pa.large_binary()).take(indices)
+    ends = np.frombuffer(taken.buffers()[1], dtype=np.int64)[taken.offset:taken.offset + len(taken) + 1]
+    return memoryview(taken.buffers()[2] or b""), ends
 
 
 class RunMemo:
-    """What ``make`` gives for each distinct run between ASCII white space, remembered up to a bound."""
+    """What ``make`` gives for each distinct run, remembered up to a bound in two
+    halves: when the newer one is full the older one is dropped.
+
+    For vocabularies in lower case that cut words from punctuation: a run that
+    ends in an ASCII letter and marks is the ``chain`` of both.  The empty run
+    gives ``empty``.
+    """
+
+    def __init__(self, make: Callable[[list[str]], list], chain: Callable, empty, most: int = MEMO_MOST):
+        self.make, self.chain, self.empty, self.most = make, chain, empty, most
+        self.known: dict = {"": empty}
+        self.older: dict = {}
+
+    def of(self, distinct: list[str]) -> list:
+        found = [*map(self.known.get, distinct)]
+        gaps = [i for i, x in enumerate(found) if x is None]
+        old = [*map(self.older.get, [distinct[i] for i in gaps])]
+        if len(self.known) + len(gaps) > self.most // 2:  # what is still in use has just come back from the older half
+            self.known, self.older = {"": self.empty}, self.known
+        for i, x in zip(gaps, old):
+            if x is not None:
+                found[i] = self.known[distinct[i]] = x
+        gaps = [i for i, x in zip(gaps, old) if x is None]
+        if gaps:
+            values = self._learn([distinct[i] for i in gaps])
+            for i, x in zip(gaps, values):
+                found[i] = x
+            self.known.update([(distinct[i], x) for i, x in zip(gaps, values) if len(distinct[i]) <= MEMO_LONGEST])
+        return found
 
-    def __init__(self, make: Callable[[list[str]], list], most: int = MEMO_MOST):
-        self.make, self.most, self.known = make, most, {}
+    def _learn(self, new: list[str]) -> list:
+        known, chain = self.known, self.chain
+        words = [r.rstrip(MARKS) for r in new]
+        parts = [(r, w, r[len(w):]) for r, w in zip(new, words) if len(w) < len(r) and "a" <= w[-1:] <= "z"]
+        need = set(new).difference([r for r, _, _ in parts])
+        need.update([w for _, w, _ in parts], [m for _, _, m in parts])
+        wanted = [*need.difference(known)]
+        made = dict(zip(wanted, self.make(wanted)))
 
-    def of(self, texts: list[bytes | None]) -> Iterator[list]:
-        """For each text in turn what its runs give, in order."""
+        def value(run: str):
+            return made[run] if run in made else known[run]
+
+        made.update([(r, chain(value(w), value(m))) for r, w, m in parts])
+        return [made[r] for r in new]
+
+
+def text_chunks(batches: Iterator[pa.RecordBatch], column: int, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text (at least one row):
+    the more text, the fewer distinct runs there are to a run."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def joined() -> pa.RecordBatch:
+        out = held[0] if len(held) == 1 else pa.concat_batches(held)
+        held.clear()
+        return out
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
         at = 0
-        while at < len(texts):
-            to, size = at, 0
-            while to < len(texts) and (size < CHUNK_BYTES or to == at):
-                size += len(texts[to] or b"")
-                to += 1
-            runs = [(t or b"").split() for t in texts[at:to]]
-            if len(self.known) > self.most:
-                self.known.clear()
-            new = [*set().union(*runs).difference(self.known)]
-            self.known.update(zip(new, self.make([r.decode("utf-8", "replace") for r in new])))
-            known = self.known
-            for own in runs:
-                yield [known[r] for r in own]
-            for r in new:  # not kept: whatever seldom comes twice
-                if len(r) > MEMO_LONGEST:
-                    del known[r]
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most - size, side="right")))
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1]) - before
             at = to
+            if size >= most or at < batch.num_rows:
+                yield joined()
+                size = 0
+                pa.default_memory_pool().release_unused()  # an executor's memory is shared with its other workers
+    if held:
+        yield joined()
 
 
 def ship(spark: SparkSession, path: str) -> str:
     """Sends the vocabulary file to every executor; the name to load it by."""
     spark.sparkContext.addFile(path)
     return path.rsplit("/", 1)[-1]
+
+
+def small_batches(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that are cheap to hold as Python objects."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))

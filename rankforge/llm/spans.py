@@ -26,10 +26,9 @@ def pieces(docs: DataFrame, cut: Callable[[bytes], tuple[list[bytes], list[int],
     as 16-byte digests, byte offsets and sizes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            for at in range(0, len(texts), 256):
+            for at in range(0, batch.num_rows, 256):
                 row, digests, starts, ends, sizes = [], [], [], [], []
-                for i, text in enumerate(texts[at:at + 256], at):
+                for i, text in enumerate(batch.column(3).slice(at, 256).to_pylist(), at):
                     found = cut(text or b"")
                     row += [i] * len(found[0])
                     digests += found[0]

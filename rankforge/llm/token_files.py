@@ -21,6 +21,7 @@ no files and an empty result.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import map_arrow, read, shared_table
-from rankforge.llm.runs import RunMemo, ship
+from rankforge.llm.runs import RunMemo, chained, ship, small_batches, split_runs, text_chunks
 from rankforge.session import checkpoint_dir, scratch_path
 
 MAGIC = b"IDSEF001"
 #: A file is closed at so many ids; a range is meant to hold so many bytes of text.
-FILE_IDS, RANGE_BYTES, RANGES_MOST = 8 << 20, 32 << 20, 1 << 16
+FILE_IDS, RANGE_BYTES, RANGES_MOST = 4 << 20, 32 << 20, 1 << 16
 #: One select sample for so many values.
 SAMPLE = 128
 
@@ -83,7 +84,7 @@ class EliasFano:
         """Every value."""
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little")).astype(np.uint64)
         bits = np.zeros((self.n, 64), dtype=np.uint8)
-        bits[:, :self.low_bits] = np.unpackbits(self.low, bitorder="little", count=self.n * self.low_bits).reshape(self.n, -1)
+        bits[:, :self.low_bits] = np.unpackbits(self.low, bitorder="little", count=self.n * self.low_bits).reshape(self.n, self.low_bits)
         low = np.packbits(bits, axis=1, bitorder="little").view("<u8").reshape(-1)
         return ((ones - np.arange(self.n, dtype=np.uint64)) << np.uint64(self.low_bits)) | low
 
@@ -133,17 +134,41 @@ _memos: dict[str, tuple[RunMemo, int]] = {}
 def _memo(name: str) -> tuple[RunMemo, int]:
     if name not in _memos:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         library = Tokenizer.from_file(SparkFiles.get(name))
         library.no_truncation()
         library.no_padding()
-        width = 2 if library.get_vocab_size() <= 1 << 16 else 4
+        size = library.get_vocab_size()
+        kind = "<u2" if size <= 1 << 16 else "<u4"
+        suffix = getattr(library.model, "end_of_word_suffix", None)
+        # the same vocabulary for words that need no normalising and are one piece each: only bytes and merges are left to do
+        plain = Tokenizer(library.model)
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(),
+                                                       pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        ends_word = np.array([bool(suffix) and (library.id_to_token(i) or "").endswith(suffix) for i in range(size)])
 
         def make(runs: list[str]) -> list[bytes]:
-            return [np.array(e.ids, dtype=f"<u{width}").tobytes() for e in library.encode_batch(runs, add_special_tokens=False)]
-
-        _memos[name] = RunMemo(make, 1_200_000), width
+            out: list = [None] * len(runs)
+            words = [i for i, r in enumerate(runs) if suffix and r.isalpha() and r.islower()]
+            for at in range(0, len(words), 4096):
+                own = words[at:at + 4096]
+                text = " ".join([runs[i] for i in own])
+                if not unicodedata.is_normalized("NFC", text):
+                    continue
+                ids = np.array(plain.encode(text, add_special_tokens=False).ids, dtype=kind)
+                cuts = (np.flatnonzero(ends_word[ids]) + 1) * ids.itemsize
+                if len(cuts) != len(own):
+                    continue
+                flat = ids.tobytes()
+                for i, a, b in zip(own, [0, *cuts.tolist()], cuts.tolist()):
+                    out[i] = flat[a:b]
+            rest = [i for i, x in enumerate(out) if x is None]
+            for i, e in zip(rest, library.encode_batch_fast([runs[i] for i in rest], add_special_tokens=False)):
+                out[i] = np.array(e.ids, dtype=kind).tobytes()
+            return out
+
+        _memos[name] = RunMemo(make, bytes.__add__, b""), np.dtype(kind).itemsize
     return _memos[name]
 
 
@@ -159,8 +184,11 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, width = _memo(name)
         end = end_id.to_bytes(width, "little")
-        for batch in batches:
-            ids = [b"".join(got) + end for got in memo.of(batch.column(1).to_pylist())]
+        for batch in text_chunks(batches, 1):
+            firsts, indices, distinct = split_runs(batch.column(1))
+            flat, at = chained(memo.of(distinct), indices)
+            cuts = at[firsts].tolist()
+            ids = [bytes(flat[a:b]) + end for a, b in zip(cuts, cuts[1:])]
             at = np.searchsorted(edges, batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(), side="right")
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0), pa.array(ids, pa.binary()),
                                               pa.array([width] * len(ids), pa.int32())], ["part", "doc_id", "ids", "width"])
@@ -177,7 +205,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
                 pa.array([pack(doc_ids, ids, width)], pa.binary())], ["part", "piece", "tokens", "content"])
 
         for batch in batches:
-            for p, d, x, w in zip(*[c.to_pylist() for c in batch.columns]):
+            for p, d, x, w in (row for part in small_batches(batch) for row in zip(*[c.to_pylist() for c in part.columns])):
                 if ids and (size + len(x) > file_ids * w or p != part):
                     yield close()
                     ids, doc_ids, size, piece = [], [], 0, piece + 1 if p == part else 0
@@ -188,7 +216,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
         if ids:
             yield close()
 
-    coded = map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")), encode,
+    coded = map_arrow(docs.select(F.col("doc_id").cast("long"), F.make_valid_utf8("text")), encode,
                       "part int, doc_id long, ids binary, width int")
     ordered = coded.repartitionById(int(ranges), "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "ids")
     (map_arrow(ordered, files, "part int, piece int, tokens long, content binary")
@@ -198,8 +226,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files under ``path``."""
-    stored = (spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, "
-                                                     "part int, piece int, tokens long").load(path))
+    stored = spark.read.format("binaryFile").load(path)
+    if "part" not in stored.columns:  # no documents, no files
+        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
+    stored = stored.withColumn("tokens", F.col("tokens").cast("long"))
     manifest = stored.select("part", "piece", "tokens")
     in_part = Window.partitionBy("part").orderBy("piece")
     parts = manifest.groupBy("part").agg(F.sum("tokens").alias("_n"))  # at most RANGES_MOST rows
@@ -211,8 +241,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, piece, content in zip(*[c.to_pylist() for c in batch.columns]):
-                doc_ids, bounds, ids = unpack(content)
+            for part, piece, content in zip(*batch.columns):  # one file at a time
+                part, piece = part.as_py(), piece.as_py()
+                doc_ids, bounds, ids = unpack(content.as_py())
                 starts = bounds.all().astype(np.int64)
                 flat = memoryview(ids.astype("<u4")).cast("B")
                 ends = (4 * starts).tolist()
