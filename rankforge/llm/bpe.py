@@ -278,7 +278,7 @@ def tokenize(docs: DataFrame, vocabulary: str, ids: bool = False) -> DataFrame:
         memo = memo_of(name)
         for batch in text_chunks(batches, 1, TEXT_BYTES):
             firsts, indices, distinct = split_runs(batch.column(1))
-            known = memo.of(distinct)
+            known = memo.of(distinct.to_pylist())
             numbers, at = chained([x[0] for x in known], indices)
             cuts = at[firsts].tolist()
             tokens, at = chained([x[1] for x in known], indices)

@@ -18,7 +18,7 @@ CHUNK_BYTES, MEMO_MOST, MEMO_LONGEST = 16 << 20, 400_000, 64
 MARKS = ".,!?;:"
 
 
-def split_runs(texts: pa.StringArray) -> tuple[np.ndarray, pa.Array, list[str]]:
+def split_runs(texts: pa.StringArray) -> tuple[np.ndarray, pa.Array, pa.Array]:
     """Where each text's runs begin in the list of all runs, the runs as indexes,
     and the distinct runs.
 
@@ -31,12 +31,12 @@ def split_runs(texts: pa.StringArray) -> tuple[np.ndarray, pa.Array, list[str]]:
     del plain
     found = runs.flatten().dictionary_encode()
     firsts = runs.offsets.to_numpy().astype(np.int64) - runs.offsets[0].as_py()
-    return firsts, found.indices, found.dictionary.to_pylist()
+    return firsts, found.indices, found.dictionary
 
 
-def chained(values: list[bytes], indices: pa.Array) -> tuple[memoryview, np.ndarray]:
+def chained(values: list[bytes] | pa.Array, indices: pa.Array) -> tuple[memoryview, np.ndarray]:
     """The values of all runs in order, one after the other, and where each begins."""
-    taken = pa.array(values, pa.large_binary()).take(indices)
+    taken = (values if isinstance(values, pa.Array) else pa.array(values, pa.large_binary())).take(indices)
     ends = np.frombuffer(taken.buffers()[1], dtype=np.int64)[taken.offset:taken.offset + len(taken) + 1]
     return memoryview(taken.buffers()[2] or b""), ends
 
@@ -122,6 +122,52 @@ def ship(spark: SparkSession, path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+class ColumnMemo:
+    """``RunMemo`` for values that are bytes, kept as Arrow columns: a remembered
+    run takes its letters, its value and twelve bytes, and finding the runs of a
+    text among them is one lookup of a whole column."""
+
+    def __init__(self, encode: Callable[[pa.Array], pa.Array], most: int):
+        self.encode, self.most = encode, most
+        self.words, self.values = pa.array([""], pa.string()), pa.array([b""], pa.large_binary())
+
+    def of(self, distinct: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All values, and for each of the distinct runs which one is its own."""
+        at = pc.index_in(distinct, value_set=self.words)
+        missing = at.is_null()
+        new = distinct.filter(missing)
+        place = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        values = self.values
+        if len(new):
+            place[missing.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+            values = pa.concat_arrays([self.values, self._learn(new)])
+            self.words, self.values = pa.concat_arrays([self.words, new]), values
+            if len(self.words) > self.most:  # the older half goes
+                self.words, self.values = (pa.concat_arrays([pa.array(first, x.type), x.slice(len(x) - self.most // 2)])
+                                           for first, x in (([""], self.words), ([b""], self.values)))
+        return values, place
+
+    def _learn(self, new: pa.Array) -> pa.Array:
+        words = pc.utf8_rtrim(new, MARKS)
+        ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1]
+        letters = np.frombuffer(words.buffers()[2] or b"\0", dtype=np.uint8)
+        last = letters[np.maximum(ends[1:] - 1, 0)]
+        apart = (np.diff(ends) < pc.binary_length(new).to_numpy()) & (np.diff(ends) > 0) & (last >= 97) & (last <= 122)
+        whole, base = new.filter(pa.array(~apart)), words.filter(pa.array(apart))
+        marks = pc.replace_substring_regex(new.filter(pa.array(apart)), pattern=f"^.*?([{MARKS}]+)$", replacement=r"\1")
+        need = pc.unique(pa.concat_arrays([whole, base, marks]))
+        made = self.encode(need)
+
+        def value(runs: pa.Array) -> pa.Array:
+            return made.take(pc.index_in(runs, value_set=need))
+
+        both = pc.binary_join_element_wise(value(base), value(marks), pa.scalar(b"", pa.large_binary()))
+        order = np.empty(len(new), dtype=np.int64)
+        order[np.flatnonzero(~apart)] = np.arange(len(whole))
+        order[np.flatnonzero(apart)] = len(whole) + np.arange(len(base))
+        return pa.concat_arrays([value(whole), both]).take(pa.array(order))
+
+
 def small_batches(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in batches that are cheap to hold as Python objects."""
     return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))

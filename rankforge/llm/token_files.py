@@ -27,17 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import map_arrow, read, shared_table
-from rankforge.llm.runs import RunMemo, chained, ship, small_batches, split_runs, text_chunks
+from rankforge.llm.runs import ColumnMemo, chained, ship, small_batches, split_runs, text_chunks
 from rankforge.session import checkpoint_dir, scratch_path
 
 MAGIC = b"IDSEF001"
 #: A file is closed at so many ids; a range is meant to hold so many bytes of text.
 FILE_IDS, RANGE_BYTES, RANGES_MOST = 4 << 20, 32 << 20, 1 << 16
+#: Runs a worker remembers.
+MEMO_RUNS = 1_500_000
 #: One select sample for so many values.
 SAMPLE = 128
 
@@ -128,10 +131,10 @@ def unpack(content: bytes) -> tuple[list[int | None], EliasFano, np.ndarray]:
     return [None] * nulls + known, starts, ids
 
 
-_memos: dict[str, tuple[RunMemo, int]] = {}
+_memos: dict[str, tuple[ColumnMemo, int]] = {}
 
 
-def _memo(name: str) -> tuple[RunMemo, int]:
+def _memo(name: str) -> tuple[ColumnMemo, int]:
     if name not in _memos:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         from tokenizers import Tokenizer, pre_tokenizers
@@ -148,27 +151,31 @@ def _memo(name: str) -> tuple[RunMemo, int]:
                                                        pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         ends_word = np.array([bool(suffix) and (library.id_to_token(i) or "").endswith(suffix) for i in range(size)])
 
-        def make(runs: list[str]) -> list[bytes]:
-            out: list = [None] * len(runs)
-            words = [i for i, r in enumerate(runs) if suffix and r.isalpha() and r.islower()]
+        def column(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+            offsets = np.concatenate(([0], cuts * ids.itemsize)).astype(np.int64)
+            return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])
+
+        def whole(texts: list[str]) -> pa.Array:
+            coded = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+            return column(np.array([i for ids in coded for i in ids], dtype=kind), np.cumsum([len(ids) for ids in coded], dtype=np.int64))
+
+        def encode(runs: pa.Array) -> pa.Array:
+            simple = pc.and_(pc.utf8_is_alpha(runs), pc.utf8_is_lower(runs)).to_numpy(zero_copy_only=False) & bool(suffix)
+            words, out = runs.filter(pa.array(simple)), []
             for at in range(0, len(words), 4096):
-                own = words[at:at + 4096]
-                text = " ".join([runs[i] for i in own])
-                if not unicodedata.is_normalized("NFC", text):
-                    continue
+                own = words.slice(at, 4096).to_pylist()
+                text = " ".join(own)
                 ids = np.array(plain.encode(text, add_special_tokens=False).ids, dtype=kind)
-                cuts = (np.flatnonzero(ends_word[ids]) + 1) * ids.itemsize
-                if len(cuts) != len(own):
-                    continue
-                flat = ids.tobytes()
-                for i, a, b in zip(own, [0, *cuts.tolist()], cuts.tolist()):
-                    out[i] = flat[a:b]
-            rest = [i for i, x in enumerate(out) if x is None]
-            for i, e in zip(rest, library.encode_batch_fast([runs[i] for i in rest], add_special_tokens=False)):
-                out[i] = np.array(e.ids, dtype=kind).tobytes()
-            return out
-
-        _memos[name] = RunMemo(make, bytes.__add__, b""), np.dtype(kind).itemsize
+                cuts = np.flatnonzero(ends_word[ids]) + 1
+                # not so if a letter is one to the column functions only, or not in its normal form
+                out.append(column(ids, cuts) if len(cuts) == len(own) and unicodedata.is_normalized("NFC", text) else whole(own))
+            rest = runs.filter(pa.array(~simple)).to_pylist()
+            order = np.empty(len(runs), dtype=np.int64)
+            order[np.flatnonzero(simple)] = np.arange(len(words))
+            order[np.flatnonzero(~simple)] = len(words) + np.arange(len(rest))
+            return pa.concat_arrays([*out, whole(rest)]).take(pa.array(order))
+
+        _memos[name] = ColumnMemo(encode, MEMO_RUNS), np.dtype(kind).itemsize
     return _memos[name]
 
 
@@ -186,7 +193,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end_id: int =
         end = end_id.to_bytes(width, "little")
         for batch in text_chunks(batches, 1):
             firsts, indices, distinct = split_runs(batch.column(1))
-            flat, at = chained(memo.of(distinct), indices)
+            values, place = memo.of(distinct)
+            flat, at = chained(values, pa.array(place[indices.to_numpy()]))
             cuts = at[firsts].tolist()
             ids = [bytes(flat[a:b]) + end for a, b in zip(cuts, cuts[1:])]
             at = np.searchsorted(edges, batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(), side="right")
