@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 #: Bytes of text that are split together; runs a worker remembers; the longest one remembered.
-CHUNK_BYTES, MEMO_MOST, MEMO_LONGEST = 16 << 20, 400_000, 64
+CHUNK_BYTES, MEMO_MOST, MEMO_LONGEST = 12 << 20, 400_000, 64
 #: Marks that no word holds: a word and the marks after it are tokenized apart.
 MARKS = ".,!?;:"
 

@@ -38,9 +38,9 @@ from rankforge.session import checkpoint_dir, scratch_path
 
 MAGIC = b"IDSEF001"
 #: A file is closed at so many ids; a range is meant to hold so many bytes of text.
-FILE_IDS, RANGE_BYTES, RANGES_MOST = 4 << 20, 32 << 20, 1 << 16
+FILE_IDS, RANGE_BYTES, RANGES_MOST = 2 << 20, 16 << 20, 1 << 16
 #: Runs a worker remembers.
-MEMO_RUNS = 1_500_000
+MEMO_RUNS = 600_000
 #: One select sample for so many values.
 SAMPLE = 128
 
