@@ -281,7 +281,7 @@ def q_e12(spark, sf):
 # ---------------------------------------------------------------------------------
 # Zero-fill + standardise (population std)
 # ---------------------------------------------------------------------------------
-_STD_COLS = [SP.SCR, SP.SOC, SP.SLP]
+_STD_COLS = SP.RAW_NUMERIC
 
 
 @register("e11_standardize", with_fixture(_TR + """
