@@ -27,7 +27,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go; every document stays, with what is left of its text."""
+    """Repeated blocks of lines go; every document stays, with what is left of its text."""
     return _measured(line_dedup.dedup_lines(docs), docs.columns)
 
 

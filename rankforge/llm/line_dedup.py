@@ -1,24 +1,30 @@
-"""Line dedup by content-defined chunks of lines.
-
-A rolling hash over the hashes of a few successive lines decides after which
-line a chunk ends, so chunks depend on nearby lines alone and inserting or
-deleting lines shifts no boundary beyond the next one.  Chunks of several
-lines whose bytes occur more than once in the corpus are removed but for the earliest
-occurrence (doc_id, null last; then the text's digest; then the offset).
-
-Chunks are grouped by 128-bit digest first; only the bytes of chunks whose
+"""Line dedup by content-defined blocks of lines.
+
+Every line ends a chunk, and a hash rolled over the digests of LEAST successive
+chunks stands for the block they make.  There is a block from every line on, so
+blocks depend on their own lines alone, and inserting or deleting lines changes
+no other block.  Blocks whose bytes occur more than once in the corpus are
+removed but for the earliest occurrence (doc_id, null last; then the text's
+digest; then the offset).  A longer repeated passage consists of repeated
+blocks, so all of it goes, whatever stands around it; wider spacings of chunk
+ends would find nothing more.  What goes are lines that stand in the corpus
+earlier; the earliest of equal lines never goes.
+
+Blocks are grouped by 128-bit digest first; only the bytes of blocks whose
 digest repeats are fetched, and they are grouped by the bytes themselves, so
 nothing is removed on the word of a digest.
 
 Defined results: a line ends with its line feed, the last one with the text;
-null, empty and one-line texts have no chunk of several lines and stay; rows
+null, empty and one-line texts have no block and stay; a line
+repeated right after itself is left once; rows
 equal in doc_id and text are one document and all get its result; an empty
 table gives an empty result.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from itertools import accumulate
+
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,62 +32,33 @@ from pyspark.sql import functions as F
 from rankforge.llm.common import lookup_join, read, shared_table
 from rankforge.llm.spans import KEY, key_columns, pieces, removed_spans, without_spans
 
-#: Lines that the rolling hash spans; one chunk end in so many lines; lines a chunk has at least and at most.
-WINDOW, SPACING, LEAST, MOST = 2, 4, 2, 64
-_BASE = 0x9E3779B97F4A7C15
-
-
-def boundaries(hashes: np.ndarray) -> np.ndarray:
-    """Whether a chunk may end after each line: by the rolling hash of the WINDOW lines up to it."""
-    h = hashes.astype(np.uint64)
-    rolled = h.copy()
-    factor = 1
-    for back in range(1, WINDOW):
-        factor = factor * _BASE % (1 << 64)
-        rolled[back:] += h[:-back] * np.uint64(factor)
-    rolled ^= rolled >> np.uint64(29)
-    rolled *= np.uint64(0xBF58476D1CE4E5B9)
-    return (rolled >> np.uint64(40)) % np.uint64(SPACING) == 0
-
-
-def chunk_lines(hashes: np.ndarray) -> list[tuple[int, int]]:
-    """(first line, line after the last) of each chunk of a text."""
-    ends = boundaries(hashes)
-    chunks, first = [], 0
-    for i, end in enumerate(ends.tolist()):
-        if end and i + 1 - first >= LEAST or i + 1 - first == MOST:
-            chunks.append((first, i + 1))
-            first = i + 1
-    if first < len(ends):
-        chunks.append((first, len(ends)))
-    return chunks
+#: Lines that make a block.
+LEAST = 2
 
 
 def chunks(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int]]:
-    """Digests, starts, ends and lines of a text's chunks of several lines."""
-    digests, starts, ends, sizes = [], [], [], []
+    """Digests, starts, ends and lines (one) of a text's chunks."""
     lines = text.split(b"\n")
     if not lines[-1]:
         lines.pop()
-    if len(lines) < LEAST:
-        return digests, starts, ends, sizes
-    offsets = [0, *np.minimum(np.cumsum([len(x) + 1 for x in lines]), len(text)).tolist()]
-    hashes = np.array([xxhash.xxh64_intdigest(x) for x in lines], dtype=np.uint64)
-    for a, b in chunk_lines(hashes):
-        if b - a >= LEAST:
-            digests.append(xxhash.xxh3_128_digest(b"\n".join(lines[a:b])))
-            starts.append(offsets[a])
-            ends.append(offsets[b])
-            sizes.append(b - a)
-    return digests, starts, ends, sizes
+    offsets = [0, *accumulate(len(x) + 1 for x in lines)]
+    offsets[-1] = min(offsets[-1], len(text))
+    return [xxhash.xxh3_128_digest(x) for x in lines], offsets[:-1], offsets[1:], [1] * len(lines)
+
+
+def blocks(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int]]:
+    """Digests, starts, ends and lines of the blocks of LEAST successive chunks, one from every chunk on."""
+    digests, starts, ends, _ = chunks(text)
+    n = max(0, len(digests) - LEAST + 1)
+    return ([xxhash.xxh3_128_digest(b"".join(digests[i:i + LEAST])) for i in range(n)], starts[:n], ends[LEAST - 1:], [LEAST] * n)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` cut and ``_removed``, the byte spans that went."""
-    found = shared_table(pieces(docs, chunks), "chunks")
-    groups = shared_table(found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "chunks")
-    suspect = shared_table(lookup_join(found, groups, ["d1", "d2"], "copies").select(*KEY, "d1", "d2", "start", "end", "n"), "chunks")
-    # the bytes of a suspect chunk, without the line feed of its last line
+    found = shared_table(pieces(docs, blocks), "blocks")
+    groups = shared_table(found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "blocks")
+    suspect = shared_table(lookup_join(found, groups, ["d1", "d2"], "copies").select(*KEY, "d1", "d2", "start", "end", "n"), "blocks")
+    # the bytes of a suspect block, without the line feed of its last line
     body = F.when(F.endswith("_b", F.lit("\n")), F.expr("left(_b, length(_b) - 1)")).otherwise(F.col("_b"))
     seen = (docs.select(*key_columns(), "text").join(suspect, KEY)
             .withColumn("_b", F.expr("cast(substring(cast(text as binary), start + 1, end - start) as string)"))
@@ -89,7 +66,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     equal = (seen.groupBy("d1", "d2", "body").agg(F.min(F.struct(*KEY, "start")).alias("first"), F.count(F.lit(1)).alias("copies"))
              .filter("copies > 1"))
     several = F.count(F.lit(1)).over(Window.partitionBy("d1", "d2")) > 1  # different bytes under one digest
-    equal = shared_table(equal.withColumn("body", F.when(several, F.col("body"))), "chunks")
+    equal = shared_table(equal.withColumn("body", F.when(several, F.col("body"))), "blocks")
     later = lookup_join(suspect, equal.filter("body is null").drop("body"), ["d1", "d2"], "copies")
     if not equal.filter("body is not null").isEmpty():
         later = later.unionByName(seen.join(equal, ["d1", "d2", "body"]).drop("body"))

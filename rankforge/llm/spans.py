@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, cut: Callable[[bytes], tuple[list[bytes], list[int],
 
 def removed_spans(found: DataFrame, least: int) -> DataFrame:
     """(key, removed, kept): per document the byte spans to remove, touching
-    ones as one, and what lies between them.  ``found`` has (key, start, end, n, next);
+    and overlapping ones as one, and what lies between them.  ``found`` has (key, start, end, n, next);
     runs of touching pieces whose sizes add up to under ``least`` stay."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,8 +55,8 @@ def removed_spans(found: DataFrame, least: int) -> DataFrame:
             for spans in batch.column(3).to_pylist():
                 runs: list[list[int]] = []
                 for start, end, n in sorted({(x["start"], x["end"], x["n"]) for x in spans}):
-                    if runs and runs[-1][1] == start:
-                        runs[-1][1] = end
+                    if runs and runs[-1][1] >= start:
+                        runs[-1][1] = max(runs[-1][1], end)
                         runs[-1][2] += n
                     else:
                         runs.append([start, end, n])
