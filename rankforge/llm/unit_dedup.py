@@ -5,9 +5,11 @@ passage pasted into the middle of a line is found as well.  Units are
 normalised (ASCII letters lower-cased, white space runs as one blank) and
 digested to 128 bits; digests are grouped over the whole corpus.  The earliest
 occurrence by rank (doc_id, null last; then the text's digest; then the offset)
-stays and the others go, unless the run of touching units that would go has
-under ``min_words`` words: chance repeats of very short sentences are no
-passages.  Offsets are bytes of the original text in UTF-8.
+stays and the others go, unless the run of touching units that would go holds
+no whole line and has under ``min_words`` words: chance repeats of very short
+sentences are no passages, but a whole line goes however short it is.  A line
+of several sentences with under ``min_words`` words has an empty unit at its
+end, which is repeated if they all are, in this order.  Offsets are bytes of the original text in UTF-8.
 
 Counts are partial aggregates, and the units are joined with their group by
 broadcasting the few digests that make up a large share of all units, so a
@@ -22,6 +24,7 @@ result.
 from __future__ import annotations
 
 import re
+from functools import partial
 
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +35,15 @@ from rankforge.llm.spans import KEY, pieces, removed_spans, without_spans
 
 #: A unit ends with a line, or with one full stop, question or exclamation mark and blanks.
 _END = re.compile(rb"(?<![.!?])[.!?][ \t\r]+|\n\s*")
+#: Added to the words of a whole line: a run with one goes however few words it has.
+WHOLE = 1 << 30
 
 
-def units(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int]]:
-    """Digests, starts, ends and words of a text's units."""
+def units(text: bytes, short: int = 8) -> tuple[list[bytes], list[int], list[int], list[int]]:
+    """Digests, starts, ends and words of a text's units; whole lines have WHOLE more.
+    A line of several sentences with under ``short`` words is a unit besides them."""
     digests, starts, ends, sizes = [], [], [], []
-    digest, low, at = xxhash.xxh3_128_digest, text.lower(), 0
+    digest, low, at, line = xxhash.xxh3_128_digest, text.lower(), 0, 0
     for end in [*[m.end() for m in _END.finditer(text)], len(text)]:
         words = low[at:end].split()
         if words:
@@ -45,6 +51,15 @@ def units(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int]]:
             starts.append(at)
             ends.append(end)
             sizes.append(len(words))
+        if end == len(text) or b"\n" in text[at:end]:
+            if len(sizes) - line == 1:
+                sizes[-1] += WHOLE
+            elif len(sizes) > line and sum(sizes[line:]) < short:
+                digests.append(digest(b"".join(digests[line:])))
+                starts.append(ends[-1])
+                ends.append(ends[-1])
+                sizes.append(WHOLE)
+            line = len(sizes)
         at = end
     return digests, starts, ends, sizes
 
@@ -57,7 +72,7 @@ def repeated(found: DataFrame) -> DataFrame:
 
 def dedup_units(docs: DataFrame, min_words: int = 8) -> DataFrame:
     """``docs`` with ``text`` cut and ``_removed``, the byte spans that went."""
-    found = shared_table(pieces(docs, units), "units")
+    found = shared_table(pieces(docs, partial(units, short=min_words)), "units")
     groups = shared_table(repeated(found), "units")
     later = lookup_join(found, groups, ["d1", "d2"], "copies").filter(F.struct(*KEY, "start") != F.col("first"))
     return without_spans(docs, removed_spans(later, min_words))
