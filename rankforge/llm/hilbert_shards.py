@@ -6,11 +6,11 @@ index, and the order is cut into runs of equal row counts.  Neighbouring cells
 lie in the same or in neighbouring shards, so the minimum and maximum that a
 file keeps of *each* dimension stay narrow and filters on any of them prune.
 
-Only DataFrame functions; nothing but the row count and the minimum and
-maximum of each dimension reaches the driver.
+Only DataFrame functions; nothing but row counts and the at most 2^bits values
+at which each dimension is cut reaches the driver.
 
 Defined results: a null or empty text has size 1 and checksum 0; a null source
-or language sorts like the empty string; repeated rows each get a slot of
+or language has a level of its own, before all others; repeated rows each get a slot of
 their own; rows that tie on the curve are ordered by the MD5 of their id (null
 id: of the empty string), then id, size and checksum; an empty table gives an
 empty result.  Other columns are not read, so their names cannot clash.
@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 
 from rankforge.llm.common import read, shared_table
 
-#: Equal steps between a dimension's minimum and maximum over which rows are counted.
-FINE = 4096
-
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
     """Lookup tables of the curve: for state * 2^dims + corner, the digit along
@@ -84,9 +81,28 @@ def hilbert_index(levels: list[Column], bits: int) -> Column:
     return F.aggregate(F.array(*[F.lit(b) for b in range(bits - 1, -1, -1)]), start, step, lambda acc: acc["h"])
 
 
-def ordered_key(text: Column) -> Column:
-    """The first six bytes as an integer, in the order of the strings."""
-    return F.conv(F.rpad(F.hex(F.substring(F.coalesce(text, F.lit("")).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("long")
+def level_cuts(rows: DataFrame, value: str, before: int, n: int, steps: int) -> list:
+    """(level, smallest value) of the levels in use when the ``n`` rows with a value are cut at
+    equal row counts into ``steps`` levels from ``before`` on.  Distinct values are counted and
+    dealt out by range, so that running sums need no single task, however many there are."""
+    counts = shared_table(rows.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n")), "hilbert")
+    ranged = shared_table(counts.repartitionByRange(value).withColumn("_p", F.spark_partition_id()), "hilbert")
+    ranges = ranged.groupBy("_p").agg(F.sum("_n").alias("_s"))  # one row for each partition
+    ranges = ranges.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_start"))
+    smaller = F.sum("_n").over(Window.partitionBy("_p").orderBy(value)) - F.col("_n") + F.col("_start")
+    levels = (ranged.join(F.broadcast(ranges), "_p").withColumn("_smaller", smaller)
+              .withColumn("_level", F.expr(f"cast((_smaller * {steps}L) div {n}L as int) + {before}")))
+    return sorted(tuple(r) for r in levels.groupBy("_level").agg(F.min(value)).collect())
+
+
+def level_of(rows: DataFrame, value: str, n_all: int, n: int, bits: int) -> Column:
+    """Level in [0, 2^bits) of a value; null, where there is one, has level 0 to itself."""
+    null = int(n < n_all)
+    out = F.lit(0)
+    for level, least in level_cuts(rows, value, null, n, (1 << bits) - null) if n else []:
+        least = bytes(least) if isinstance(least, bytearray) else least
+        out = F.when(F.col(value) >= F.lit(least), F.lit(level)).otherwise(out)
+    return out.cast("int")
 
 
 def hilbert_shards(rows: DataFrame, dims: dict[str, Column], tie: Column, keep: list[str], n_shards: int = 16,
@@ -94,10 +110,10 @@ def hilbert_shards(rows: DataFrame, dims: dict[str, Column], tie: Column, keep:
     """Add ``shard`` (int), ``slot`` (long, gapless from 0 in each shard) and
     ``hilbert`` (long) to the columns ``keep`` of ``rows``.
 
-    ``dims``: long expressions, not null.  Each is counted over 4,096 equal
-    steps between its minimum and maximum and cut at equal row counts into
-    2^bits levels, so a level is a range of values and a hot value has one
-    level.  Shards differ by at most one row.  ``rows`` is read several times:
+    ``dims``: expressions with an order.  The rows of each distinct value are
+    counted and the values cut at equal row counts into 2^bits levels, so a
+    level is a range of values and a hot value has one level; null has its own.
+    Shards differ by at most one row.  ``rows`` is read several times:
     hand over a stored table.
 
     Ranks need no global sort: cell and the first byte of the tie break make
@@ -106,21 +122,12 @@ def hilbert_shards(rows: DataFrame, dims: dict[str, Column], tie: Column, keep:
     """
     raw = rows.select(*keep, *[v.alias(f"_v{i}") for i, v in enumerate(dims.values())],
                       F.md5(F.coalesce(tie.cast("string"), F.lit("")).cast("binary")).alias("_tie"))
-    ends = raw.agg(F.count(F.lit(1)).alias("n"),
-                   *[f(f"_v{i}").alias(f"{f.__name__}{i}") for i in range(len(dims)) for f in (F.min, F.max)]).first()
-    n = ends["n"]
+    given = raw.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"_v{i}").alias(f"n{i}") for i in range(len(dims))]).first()
+    n = given["n"]
     if not n:
         return raw.select(*keep, F.lit(0).cast("int").alias("shard"), F.lit(0).cast("long").alias("slot"),
                           F.lit(0).cast("long").alias("hilbert"))
-    for i in range(len(dims)):
-        low, width = ends[f"min{i}"], ends[f"max{i}"] - ends[f"min{i}"] + 1
-        raw = raw.withColumn(f"_f{i}", F.expr(f"cast(((_v{i} - {low}L) * {FINE}L) div {width}L as int)"))
-    levels = raw
-    for i in range(len(dims)):  # at most FINE rows each: bounded, so one window task and a broadcast are safe
-        steps = (raw.groupBy(f"_f{i}").agg(F.count(F.lit(1)).alias("_n"))
-                 .withColumn("_before", F.sum("_n").over(Window.orderBy(f"_f{i}")) - F.col("_n"))
-                 .select(f"_f{i}", F.expr(f"cast((_before * {1 << bits}L) div {n}L as int)").alias(f"_l{i}")))
-        levels = levels.join(F.broadcast(steps), f"_f{i}")
+    levels = raw.withColumns({f"_l{i}": level_of(raw, f"_v{i}", n, given[f"n{i}"], bits) for i in range(len(dims))})
     placed = levels.select(*keep, "_tie", hilbert_index([F.col(f"_l{i}") for i in range(len(dims))], bits).alias("hilbert"),
                            F.conv(F.substring("_tie", 1, 2), 16, 10).cast("int").alias("_sub"))
     counts = placed.groupBy("hilbert", "_sub").agg(F.count(F.lit(1)).alias("_n"))
@@ -136,11 +143,11 @@ def hilbert_shards(rows: DataFrame, dims: dict[str, Column], tie: Column, keep:
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 16, bits: int = 4) -> DataFrame:
-    """All documents over source, language and size (equal steps of its logarithm)."""
+    """All documents over source, language and size (64 steps of its logarithm for each doubling)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     narrow = shared_table(docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        ordered_key(F.col("source")).alias("_source"), ordered_key(F.col("lang")).alias("_lang")), "hilbert")
+        F.col("source").cast("binary").alias("_source"), F.col("lang").cast("binary").alias("_lang")), "hilbert")
     dims = {"source": F.col("_source"), "lang": F.col("_lang"), "size": F.floor(F.log2("size") * 64).cast("long")}
     return hilbert_shards(narrow, dims, F.col("doc_id"), ["doc_id", "size", "text_crc32"], n_shards, bits)
 
