@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankforge.llm import (ann_search, bpe, embedding_dedup, hilbert_shards, line_dedup, mix_sources, quality, simhash,
-                           token_files, unit_dedup)
+from rankforge.llm import (ann_search, bpe, conversation_repair, embedding_dedup, hilbert_shards, line_dedup, merkle, mix_sources,
+                           oracles, quality, simhash, token_files, unit_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": embedding_dedup.query,
         "op9_simhash": simhash.query,
         "op10_ann_search": ann_search.query,
+        "op12_merkle": merkle.query,
+        "op13_conversation_repair": conversation_repair.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_merkle": oracles.merkle(), "op13_conversation_repair": oracles.repair()}
