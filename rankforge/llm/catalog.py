@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rankforge.llm import (ann_search, bpe, conversation_repair, embedding_dedup, hilbert_shards, line_dedup, merkle, mix_sources,
-                           oracles, quality, simhash, token_files, unit_dedup)
+                           oracles, quality, simhash, suffix_dedup, token_files, unit_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": embedding_dedup.query,
         "op9_simhash": simhash.query,
         "op10_ann_search": ann_search.query,
+        "op11_suffix_dedup": suffix_dedup.query,
         "op12_merkle": merkle.query,
         "op13_conversation_repair": conversation_repair.query,
     }
