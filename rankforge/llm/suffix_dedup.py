@@ -8,7 +8,8 @@ one place (the leftmost, of equals), the window's anchor.  Equal windows have eq
 equal places, so windows can only match within the group of an anchor's hash.
 Successive windows with one anchor make a piece of text.  Groups that occur
 once are done with.  Equal pieces are counted and go whole if there are two; of
-a group's different pieces one copy each goes into a shard.  A shard's pieces
+a group's different pieces one copy each goes into a shard, where windows whose
+middle bytes stand in one piece only are left out.  A shard's pieces
 are sorted by an induced suffix array, and windows that have ``width`` bytes in common with
 their neighbour in order, by the permuted common prefixes, go.
 
@@ -30,6 +31,7 @@ bytes and may cut a character, so what is left is binary.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +51,7 @@ ANCHOR = 24
 #: Different pieces of a group that may go into one shard; a group of more is cut finer.
 MOST = 2048
 #: Bytes of a shard, roughly.
-SHARD = 1 << 19
+SHARD = 1 << 20
 #: Places of the anchor that a hot group's stretches cover, from one cut to the next.
 GRAINS = (32, 4, 1)
 #: Windows that are looked at together; longer texts go slab by slab.
@@ -166,24 +168,58 @@ def _bodies(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return map_arrow(rows.select(*KEY, "_b", "_w"), run, f"{_KEYS}, h long, place int, start int, end int, copies long, among long, body binary")
 
 
+def _stretches(place: int, size: int, grain: int, width: int) -> Iterator[tuple[int, int, slice, int]]:
+    """(first window, window behind the last, core, anchor's least place) of a
+    piece's stretches; the core is the bytes that all windows of a stretch share."""
+    s = 0
+    while s < size - width + 1:
+        low = (place - s) // grain * grain                                 # window s has the anchor at place - s
+        stop = min(size - width + 1, place - low + 1)
+        yield s, stop, slice(place - low, place - low - grain + 1 + width), low
+        s = stop
+
+
+def candidates(places: list[int], bodies: list[bytes], width: int, grain: int = GRAINS[0]) -> tuple[list[int], list[int], list[bytes]]:
+    """(piece, offset, bytes): the parts of pieces whose stretches have a core that
+    another stretch has too; only they can hold windows that match."""
+    cores = [[(s, stop, xxhash.xxh3_64_intdigest(body[core], low)) for s, stop, core, low in _stretches(place, len(body), grain, width)]
+             for place, body in zip(places, bodies)]
+    times = Counter(c for mine in cores for _, _, c in mine)
+    at, offset, parts = [], [], []
+    for i, mine in enumerate(cores):
+        runs: list[list[int]] = []
+        for s, stop, c in mine:
+            if times[c] > 1:
+                if runs and runs[-1][1] == s:
+                    runs[-1][1] = stop
+                else:
+                    runs.append([s, stop])
+        for s, stop in runs:
+            at.append(i)
+            offset.append(s)
+            parts.append(bodies[i][s:stop - 1 + width])
+    return at, offset, parts
+
+
 def _sorted(bodies: DataFrame, width: int) -> DataFrame:
     """The spans that suffix arrays find in pieces of which there is one copy."""
     total = bodies.agg(F.sum(F.octet_length("body") + 1)).first()[0] or 0  # one number
     shards = -(-total // SHARD) or 1
     parts = int(bodies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = (bodies.select(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("_shard"), *KEY, "start", F.col("copies") == 1, "body")
+    dealt = (bodies.select(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("_shard"), *KEY, "start", F.col("copies") == 1, "place", "body")
              .repartition(min(shards, 8 * parts), "_shard").sortWithinPartitions("_shard"))
 
     def one(rows: pa.Table) -> pa.RecordBatch:
         at, start, end = [], [], []
-        single, base = rows.column(5).to_pylist(), rows.column(4).to_pylist()
-        for i, hit in enumerate(repeats(rows.column(6).to_pylist(), width)):
+        single, base, bodies_ = (rows.column(k).to_pylist() for k in (5, 4, 7))
+        piece, offset, parts = candidates(rows.column(6).to_pylist(), bodies_, width)
+        for i, o, hit in zip(piece, offset, repeats(parts, width) if parts else []):
             if single[i] and hit.size:
                 cut = np.flatnonzero(np.diff(hit) > 1)
                 for a, b in zip(hit[np.concatenate(([0], cut + 1))].tolist(), hit[np.append(cut, len(hit) - 1)].tolist()):
                     at.append(i)
-                    start.append(base[i] + a)
-                    end.append(base[i] + b + width)
+                    start.append(base[i] + o + a)
+                    end.append(base[i] + o + b + width)
         keys = [pa.array([rows.column(k)[i].as_py() for i in at], rows.schema.field(k).type) for k in (1, 2, 3)]
         return pa.RecordBatch.from_arrays([*keys, pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array([1] * len(at), pa.int32())],
                                           [*KEY, "start", "end", "n"])
@@ -213,18 +249,12 @@ def _finer(bodies: DataFrame, grain: int, width: int) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 row, out = [], []
                 for i, (h, place, start, copies, body) in enumerate(zip(*[batch.column(k).slice(at, 256).to_pylist() for k in (3, 4, 5, 7, 9)]), at):
-                    n = len(body) - width + 1                              # window s has the anchor at place - s
-                    s = 0
-                    while s < n:
-                        low = (place - s) // grain * grain                 # places low .. low + grain - 1
-                        stop = min(n, place - low + 1)
-                        core = body[place - low:place - low - grain + 1 + width]
+                    for s, stop, core, low in _stretches(place, len(body), grain, width):
                         part = body[s:stop - 1 + width]
-                        key = xxhash.xxh3_64_intdigest(core, low * 31 + grain) ^ (h & (1 << 64) - 1)
+                        key = xxhash.xxh3_64_intdigest(body[core], low * 31 + grain) ^ (h & (1 << 64) - 1)
                         row.append(i)
                         out.append((key - (1 << 64) if key >> 63 else key, place - s, start + s, start + stop - 1 + width, len(part),
                                     xxhash.xxh3_128_digest(part), copies, part))
-                        s = stop
                 yield pa.RecordBatch.from_arrays([*_rows(batch, row, out), pa.array([x[6] for x in out], pa.int64()),
                                                   pa.array([x[7] for x in out], pa.binary())], [*_NAMES, "body"])
 

@@ -6,63 +6,71 @@ import numpy as np
 
 
 def _runs(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of a sorted array: each element's place in its run of equals, and where the runs start."""
-    first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-    return np.arange(len(c)) - np.repeat(first, np.diff(np.append(first, len(c)))), first
+    """Where the runs of equals in a sorted array start, and how long they are."""
+    cuts = (c[1:] != c[:-1]).nonzero()[0]
+    first = np.zeros(len(cuts) + 1, dtype=np.int64)
+    first[1:] = cuts + 1
+    sizes = np.empty_like(first)
+    sizes[:-1] = first[1:] - first[:-1]
+    sizes[-1] = len(c) - first[-1]
+    return first, sizes
 
 
-def _small(c: np.ndarray, alphabet: int) -> np.ndarray:
-    return c.astype(np.uint16) if alphabet <= 1 << 16 else c  # numpy sorts these by radix
-
-
-def _scan(sa: np.ndarray, t: np.ndarray, wanted: np.ndarray, edge: np.ndarray, alphabet: int, step: int) -> None:
+def _scan(sa: np.ndarray, symbol: np.ndarray, edge: np.ndarray, step: int) -> None:
     """One pass of induced sorting: every suffix in ``sa``, left to right (step 1) or
-    right to left (-1), puts the one before it, if its type is wanted, next to
-    the edge of its bucket.
+    right to left (-1), puts the one before it next to the edge of its bucket.
+    ``symbol`` is negative where a suffix is not of the type that is wanted, and at the end of the text.
 
     Stretches of the array are done at once.  A stretch ends where the first of
     its suffixes would be put inside it, as what stands there must be seen in turn.
     """
-    n, at, size = len(sa), 0, 256
+    n, at, size = len(sa), 0, 1024
+    steps = step * np.arange(1 << 16)
     while at < n:
         size = min(size, n - at)
         part = sa[at:at + size] if step > 0 else sa[n - at - size:n - at][::-1]
-        where = np.flatnonzero(part > 0)
-        j = part[where] - 1
-        ok = wanted[j]
-        where, j = where[ok], j[ok]
-        c = t[j]
-        lands = (edge[c] if step > 0 else n - 1 - edge[c]) - at              # nearest place, seen from here
-        inside = lands[lands < size]
+        before = part - 1                                                  # -1, of the first suffix or no suffix yet: nothing
+        c = symbol[before]
+        where = (c >= 0).nonzero()[0]
         done = size
-        if inside.size:
-            done = int(inside.min())
-            some = where < done
-            j, c = j[some], c[some]
-        if j.size:
-            order = np.argsort(_small(c, alphabet), kind="stable")
-            c, j = c[order], j[order]
-            rank, first = _runs(c)
-            sa[edge[c] + step * rank] = j
-            edge[c[first]] += step * np.diff(np.append(first, len(c)))
+        if len(where):
+            c, j = c[where], before[where]
+            lands = edge[c]
+            nearest = int(lands.min()) - at if step > 0 else n - 1 - at - int(lands.max())
+            if nearest < size:                                             # seen from here
+                done = nearest
+                some = int(where.searchsorted(done))
+                c, j = c[:some], j[:some]
+            if len(c):
+                order = c.argsort(kind="stable")
+                c, j = c[order], j[order]
+                first, sizes = _runs(c)
+                heads = c[first]
+                free = edge[heads]
+                place = (free - step * first).repeat(sizes)
+                place += steps[:len(c)]
+                sa[place] = j
+                edge[heads] = free + step * sizes
         at += done
-        size = min(2 * size, 1 << 16) if done == size else max(64, 2 * done)
+        size = min(len(steps), 2 * size if done == size else max(64, 2 * done))
 
 
 def _induce(t: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, alphabet: int) -> np.ndarray:
     """The order of all suffixes that follows from the order of ``seeds``, the leftmost-smaller ones."""
     sizes = np.bincount(t, minlength=alphabet)
     ends = np.cumsum(sizes)
-    sa = np.full(len(t), -1, dtype=np.int64)
-    order = np.argsort(_small(t[seeds], alphabet), kind="stable")
+    sa = np.zeros(len(t), dtype=np.int32)                                  # 0: none yet; it moves nothing, nor does the first suffix
+    order = np.argsort(t[seeds], kind="stable")
     c = t[seeds][order]
-    rank, first = _runs(c)
-    runs = np.diff(np.append(first, len(c)))
-    sa[ends[c] - np.repeat(runs, runs) + rank] = seeds[order]
-    _scan(sa, t, ~smaller, ends - sizes, alphabet, 1)
-    sa[(sa >= 0) & smaller[sa]] = -1                                       # the seeds are put anew, among their kind
+    first, runs = _runs(c)
+    sa[np.arange(len(c)) + (ends[c[first]] - runs - first).repeat(runs)] = seeds[order]
+    none = t.dtype.type(-1)
+    _scan(sa, np.where(smaller, none, t), ends - sizes, 1)
+    sa[smaller[sa]] = 0                                                    # the seeds are put anew, among their kind
     sa[0] = len(t) - 1
-    _scan(sa, t, smaller, ends - 1, alphabet, -1)
+    symbol = np.where(smaller, t, none)
+    symbol[-1] = none
+    _scan(sa, symbol, ends - 1, -1)
     return sa
 
 
@@ -76,8 +84,9 @@ def suffix_array(t: np.ndarray, alphabet: int) -> np.ndarray:
     the true order of the leftmost-smaller suffixes that of all others follows.
     """
     n = len(t)
+    t = t.astype(np.int16 if alphabet < 1 << 15 else np.int32)              # numpy sorts the short ones by radix
     if n == 1:
-        return np.zeros(1, dtype=np.int64)
+        return np.zeros(1, dtype=np.int32)
     differ = np.flatnonzero(np.diff(t) != 0)
     nxt = differ[np.searchsorted(differ, np.arange(n - 1))]                # the last symbol differs from all
     smaller = np.append(t[nxt] < t[nxt + 1], True)
@@ -89,7 +98,7 @@ def suffix_array(t: np.ndarray, alphabet: int) -> np.ndarray:
     is_lms[lms] = True
     found = found[is_lms[found]]
     # names: equal substrings, ends included, get the same
-    number = np.zeros(n, dtype=np.int64)
+    number = np.zeros(n, dtype=np.int32)
     number[lms] = np.arange(len(lms))
     length = np.append(np.diff(lms), 0)[number[found]]
     new = np.append(True, length[1:] != length[:-1])
@@ -103,7 +112,7 @@ def suffix_array(t: np.ndarray, alphabet: int) -> np.ndarray:
     if names[-1] + 1 == len(lms):
         order = found
     else:
-        reduced = np.empty(len(lms), dtype=np.int64)
+        reduced = np.empty(len(lms), dtype=np.int32)
         reduced[number[found]] = names
         order = lms[suffix_array(reduced, int(names[-1]) + 1)]
     return _induce(t, smaller, order, alphabet)
@@ -117,7 +126,7 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.nda
     before the two suffixes differ: only those are compared, four symbols at once.
     """
     n = len(t)
-    phi = np.empty(n, dtype=np.int64)
+    phi = np.empty(n, dtype=sa.dtype)
     phi[sa[0]], phi[sa[1:]] = -1, sa[:-1]
     here = np.arange(n)
     prev = (phi > 0) & (here > 0) & (t[np.maximum(phi, 1) - 1] == t[np.maximum(here, 1) - 1])
