@@ -135,10 +135,11 @@ def attach_map(rows: DataFrame, m: DataFrame, keys: list[str], payload: list[str
 # Frozen map transform with defaults for unseen levels
 # ---------------------------------------------------------------------------------
 def apply_frozen_encoding(rows: DataFrame, enc_map: DataFrame, level_exprs: dict[str, Column],
-                          max_hot: int = 10000) -> DataFrame:
-    """Unseen level -> global mean (te) / 0.0 (freq).  The map is stored first."""
-    enc_map = cut_lineage(enc_map)
-    stats = map_stats(enc_map)
+                          max_hot: int = 10000, stats: dict | None = None) -> DataFrame:
+    """Unseen level -> global mean (te) / 0.0 (freq).  The map is stored first, unless its ``stats`` are known."""
+    if stats is None:
+        enc_map = cut_lineage(enc_map)
+        stats = map_stats(enc_map)
     gm = {k: v[1] for k, v in stats.items()}
     out = rows
     for name, expr in level_exprs.items():
@@ -261,16 +262,17 @@ def unseen_levels(train: DataFrame, apply: DataFrame, cols: list[str],
 
 
 def apply_codes(rows: DataFrame, code_map: DataFrame, cols: list[str], token: str | None,
-                unknown: int | None = None, max_bytes: int = 8 << 20) -> DataFrame:
+                unknown: int | None = None, max_bytes: int = 8 << 20, sizes: dict | None = None) -> DataFrame:
     """Replace each categorical with its code (E3), unseen -> ``unknown`` (E4: -1).
 
     A column's vocabulary is broadcast if its strings and codes have at most
     ``max_bytes``, else joined skew-safe.
     """
-    code_map = cut_lineage(code_map)
     out = rows
-    sizes = {r["col"]: int(r["size"]) for r in code_map.groupBy("col").agg(
-        F.sum(F.octet_length("level") + 16).alias("size")).collect()}   # one per column
+    if sizes is None:
+        code_map = cut_lineage(code_map)
+        sizes = {r["col"]: int(r["size"]) for r in code_map.groupBy("col").agg(
+            F.sum(F.octet_length("level") + 16).alias("size")).collect()}   # one per column
     for c in cols:
         m = code_map.where(F.col("col") == c).select(F.col("level").alias(f"_lv_{c}"),
                                                      F.col("code").alias(f"_code_{c}"))

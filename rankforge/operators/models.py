@@ -115,7 +115,7 @@ class FoldFeatures:
         return self.neural_cols if PRESETS[family]["kind"] in ("mlp", "fm") else self.feature_cols
 
 
-def _base(df: DataFrame) -> DataFrame:
+def base_features(df: DataFrame) -> DataFrame:
     """Row-local features (F1-F16) and levels; safe to compute before the fold loop."""
     d = FE.engineer(df)
     return d.withColumns({f"lvl_{k}": v for k, v in EN.discrete_levels(d).items()})
@@ -130,7 +130,7 @@ def fit_fold_features(train: DataFrame, label: str, inner_k: int = 5, seed: int
     """
     # the training part is read by several statistics passes: store it, and cut the
     # small fitted maps too, so that later plans scan a written table.
-    inner = cut_lineage(SA.stratified_folds(_base(train), inner_k, label, seed=seed, out="_inner"))
+    inner = cut_lineage(SA.stratified_folds(base_features(train), inner_k, label, seed=seed, out="_inner"))
     numeric = [c for c in NUMERIC_COLUMNS + FE.ENGINEERED + list(extra_numeric) if c in inner.columns]
     meds = {r["col"]: r["median"] for r in EN.exact_medians(inner, numeric).collect()}   # one per column
     lv = {c: F.col(f"lvl_{c}") for c in LEVEL_COLS}
@@ -140,27 +140,34 @@ def fit_fold_features(train: DataFrame, label: str, inner_k: int = 5, seed: int
     te_global = cut_lineage(EN.target_encoding_map(inner.select(label, *levels_only), LEVEL_COLS, label))
     codes = cut_lineage(EN.label_code_map(inner, inner, CATEGORICAL_COLUMNS))
     plan = FoldFeatures(numeric, meds, te_global, codes, EN.zero_fill_stats(inner, numeric))
-    return plan, _finish(plan, enc_train, codes)
+    return plan, finish(plan, enc_train, codes)
 
 
 def transform_fold_features(plan: FoldFeatures, rows: DataFrame) -> DataFrame:
-    d = _base(rows)
+    d = base_features(rows)
     lv = {c: F.col(f"lvl_{c}") for c in LEVEL_COLS}
     enc = EN.apply_frozen_encoding(d, plan.te_global, lv)
-    return _finish(plan, enc, EN.extend_codes(plan.codes, rows, CATEGORICAL_COLUMNS))
+    return finish(plan, enc, EN.extend_codes(plan.codes, rows, CATEGORICAL_COLUMNS))
 
 
-def _finish(plan: FoldFeatures, d: DataFrame, codes: DataFrame) -> DataFrame:
+def name_columns(plan: FoldFeatures) -> None:
+    """Inputs of the tree and of the neural families, by name."""
+    flags = [f"{c}_is_null" for c in plan.numeric]
+    encoded = [f"{c}_{s}" for c in LEVEL_COLS for s in ("te", "freq")]
+    plan.feature_cols = plan.numeric + flags + list(CATEGORICAL_COLUMNS) + encoded
+    plan.neural_cols = [f"z_{c}" for c in plan.numeric] + flags + list(CATEGORICAL_COLUMNS) + encoded
+
+
+def finish(plan: FoldFeatures, d: DataFrame, codes: DataFrame, code_sizes: dict | None = None) -> DataFrame:
+    """Encoded rows with null flags, scaled and filled numerics and category codes."""
     scaled = {f"z_{c}": z for c, z in EN.standardized(plan.stats).items()}
     flags = {f"{c}_is_null": F.col(c).isNull().cast("double") for c in plan.numeric}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(plan.medians.get(c) or 0.0)))
               for c in plan.numeric}
     d = d.withColumns(flags).withColumns(scaled).withColumns(filled)
-    d = EN.apply_codes(d, codes, CATEGORICAL_COLUMNS, token="Missing")
+    d = EN.apply_codes(d, codes, CATEGORICAL_COLUMNS, token="Missing", sizes=code_sizes)
     d = d.withColumns({c: F.col(c).cast("double") for c in CATEGORICAL_COLUMNS})
-    enc_cols = [f"{c}_{s}" for c in LEVEL_COLS for s in ("te", "freq")]
-    plan.feature_cols = plan.numeric + list(flags) + list(CATEGORICAL_COLUMNS) + enc_cols
-    plan.neural_cols = list(scaled) + list(flags) + list(CATEGORICAL_COLUMNS) + enc_cols
+    name_columns(plan)
     return d
 
 

@@ -77,6 +77,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written as Parquet to a fresh path of the shared folder and read
+    back: cuts the lineage as a checkpoint does, but computes the rows once."""
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def default_buckets(spark: SparkSession, floor: int = 64, cap: int = 16384) -> int:
     """Number of range buckets for distributed ranks: ~4 per shuffle partition.
 
