@@ -11,6 +11,7 @@ from rankforge.functions.columns import round_doubles
 from rankforge.operators import encode as EN
 from rankforge.operators import rank as RK
 from rankforge.schema import CATEGORICAL_COLUMNS, LABEL, NUMERIC_COLUMNS, TE_SMOOTHING
+from rankforge.session import stored
 from rankforge.sources.fixture import behaviour_view, scored_view, with_fixture
 
 LEVEL_COLS = ["gender", "stress_level", "academic_work_impact", "gender_stress_level",
@@ -127,7 +128,7 @@ def q_e8_rows(spark, sf):
 @register("j4_fold_loop_union", with_fixture(_E9_ROWS_SQL, scores=True))
 def q_j4(spark, sf):
     """Fold-by-fold frozen encoders, scattered back with unionByName (cross-checks E8)."""
-    fo = train_folds(spark, sf).select("id", "fold", LABEL, *CATS).persist()
+    fo = stored(train_folds(spark, sf).select("id", "fold", LABEL, *CATS), "folds")
     lv = EN.discrete_levels(fo)
     parts = []
     for k in range(K):
@@ -145,27 +146,19 @@ def q_j4(spark, sf):
 # ---------------------------------------------------------------------------------
 # Frozen map applied to new rows
 # ---------------------------------------------------------------------------------
+_E10_COLS = ", ".join(f"round(coalesce(m{i}.te, (SELECT global_mean FROM means WHERE col = '{c}')), 6) AS {c}_te, "
+                      f"round(coalesce(m{i}.freq, 0.0e0), 6) AS {c}_freq" for i, c in enumerate(LEVEL_COLS))
+_E10_JOINS = " ".join(f"LEFT JOIN gm m{i} ON m{i}.col = '{c}' AND m{i}.level = r.{c}" for i, c in enumerate(LEVEL_COLS))
+
+
 @register("e10_frozen_encoding", with_fixture(_E6_BASE + f"""
 , te_rows AS (SELECT id, {LEVELS_SQL} FROM sx WHERE split = 'test'),
   means AS (SELECT DISTINCT col, global_mean FROM gm)
-SELECT r.id,
-  round(coalesce(m1.te, (SELECT global_mean FROM means WHERE col = 'gender')), 6) AS gender_te,
-  round(coalesce(m1.freq, 0.0e0), 6) AS gender_freq,
-  round(coalesce(m2.te, (SELECT global_mean FROM means WHERE col = 'stress_level_academic_work_impact')), 6)
-    AS stress_level_academic_work_impact_te,
-  round(coalesce(m2.freq, 0.0e0), 6) AS stress_level_academic_work_impact_freq
-FROM te_rows r
-LEFT JOIN gm m1 ON m1.col = 'gender' AND m1.level = r.gender
-LEFT JOIN gm m2 ON m2.col = 'stress_level_academic_work_impact' AND m2.level = r.stress_level_academic_work_impact""",
-                                              scores=True))
+SELECT r.id, {_E10_COLS} FROM te_rows r {_E10_JOINS}""", scores=True))
 def q_e10(spark, sf):
-    view = scored_view(spark, sf)
-    test = view.where(F.col("split") == "test").select("id", *CATS)
-    lv = EN.discrete_levels(test)
-    enc = global_map(spark, sf)
-    cols = ["gender", "stress_level_academic_work_impact"]
-    out = EN.apply_frozen_encoding(test, enc, {c: lv[c] for c in cols})
-    return round_doubles(out.select("id", *[f"{c}_{s}" for c in cols for s in ("te", "freq")]))
+    test = scored_view(spark, sf).where(F.col("split") == "test").select("id", *CATS)
+    out = EN.apply_frozen_encoding(test, global_map(spark, sf), EN.discrete_levels(test))
+    return round_doubles(out.select("id", *[f"{c}_{s}" for c in LEVEL_COLS for s in ("te", "freq")]))
 
 
 # ---------------------------------------------------------------------------------
@@ -337,18 +330,20 @@ def q_j1(spark, sf):
     return round_doubles(out.select("id", F.coalesce("joint_profile_freq", F.lit(0.0)).alias("joint_profile_freq")))
 
 
+_G14_MAPS = ", ".join(f"v{i} AS (SELECT {c} AS v, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS freq FROM tr WHERE {c} IS NOT NULL GROUP BY 1)"
+                      for i, c in enumerate(SP.RAW_NUMERIC))
+_G14_JOINS = " ".join(f"LEFT JOIN v{i} ON v{i}.v = s.{c}" for i, c in enumerate(SP.RAW_NUMERIC))
+
+
 @register("g14_value_frequency", with_fixture(_TR + f"""
-, vm AS (SELECT {SP.SCR} AS v, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS freq
-         FROM tr WHERE {SP.SCR} IS NOT NULL GROUP BY 1)
-SELECT s.id, round(vm.freq, 6) AS {SP.SCR}_freq
-FROM (SELECT * FROM sx WHERE split = 'test') s LEFT JOIN vm ON vm.v = s.{SP.SCR}""", scores=True))
+, {_G14_MAPS}
+SELECT s.id, {", ".join(f"round(v{i}.freq, 6) AS {c}_freq" for i, c in enumerate(SP.RAW_NUMERIC))}
+FROM (SELECT * FROM sx WHERE split = 'test') s {_G14_JOINS}""", scores=True))
 def q_g14(spark, sf):
     view = scored_view(spark, sf)
-    tr = view.where((F.col("split") == "train") & F.col(SP.SCR).isNotNull())
-    fmap, total = EN.frequency_map(tr, F.col(SP.SCR), "v")
-    test = view.where(F.col("split") == "test").select("id", SP.SCR)
-    out = EN.apply_frequency(test, fmap, F.col(SP.SCR), f"{SP.SCR}_freq")
-    return round_doubles(out.select("id", f"{SP.SCR}_freq"))
+    maps = EN.frequency_maps(view.where(F.col("split") == "train"), SP.RAW_NUMERIC)
+    out = EN.apply_frequencies(view.where(F.col("split") == "test").select("id", *SP.RAW_NUMERIC), maps, SP.RAW_NUMERIC)
+    return round_doubles(out.select("id", *[f"{c}_freq" for c in SP.RAW_NUMERIC]))
 
 
 @register("g15_cohort_residual", with_fixture(f"""
@@ -364,9 +359,6 @@ def q_g15(spark, sf):
 @register("j2_prediction_stacking", with_fixture(f"""
 SELECT id, {SP.pct_rank('p1')} AS r_p1, {SP.pct_rank('p2')} AS r_p2 FROM sx""", scores=True))
 def q_j2(spark, sf):
-    view = scored_view(spark, sf)
-    a = RK.with_ranks(view.select("id", "p1"), "p1", out_prefix="r_", kinds=("pct_rank",)) \
-          .select("id", F.col("r_pct_rank").alias("r_p1"))
-    b = RK.with_ranks(view.select("id", "p2"), "p2", out_prefix="r_", kinds=("pct_rank",)) \
-          .select("id", F.col("r_pct_rank").alias("r_p2"))
-    return a.join(b, ["id"], "inner")
+    """The models' ranks side by side on the same row: no join by position or key."""
+    view = scored_view(spark, sf).select("id", "p1", "p2")
+    return RK.percentile_rank_columns(view, ["p1", "p2"]).select("id", "r_p1", "r_p2")

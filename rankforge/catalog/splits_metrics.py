@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from rankforge.catalog import sqlparts as SP
@@ -13,6 +15,7 @@ from rankforge.operators import features as FE
 from rankforge.operators import metrics as ME
 from rankforge.operators import rank as RK
 from rankforge.operators import sampling as SA
+from rankforge.session import stored
 from rankforge.schema import KS_THRESHOLD, LABEL, NUMERIC_COLUMNS
 from rankforge.sources.fixture import behaviour_view, scored_view, with_fixture
 
@@ -72,14 +75,16 @@ def q_s4(spark, sf):
 
 
 @register("b10_fold_split", with_fixture(_TR + _FO + f"""
-SELECT CASE WHEN fold = 0 THEN 'validation' ELSE 'train' END AS part,
+SELECT CAST(k AS INTEGER) AS fold, CASE WHEN fold = k THEN 'validation' ELSE 'train' END AS part,
        count(*) AS n, CAST(sum({LABEL}) AS BIGINT) AS npos
-FROM fo GROUP BY 1""", scores=True))
+FROM fo CROSS JOIN range({K}) r(k) GROUP BY 1, 2""", scores=True))
 def q_b10(spark, sf):
-    tr, va = SA.fold_split(train_folds(spark, sf), 0)
+    """Both sides of every fold's split."""
+    folds = stored(train_folds(spark, sf).select("id", "fold", LABEL), "folds")
     agg = [F.count(F.lit(1)).alias("n"), F.sum(LABEL).cast("long").alias("npos")]
-    return (tr.agg(*agg).withColumn("part", F.lit("train"))
-            .unionByName(va.agg(*agg).withColumn("part", F.lit("validation"))))
+    sides = [side.agg(*agg).select(F.lit(k).alias("fold"), F.lit(name).alias("part"), "n", "npos")
+             for k in range(K) for name, side in zip(("train", "validation"), SA.fold_split(folds, k))]
+    return reduce(lambda a, b: a.unionByName(b), sides)
 
 
 # ---------------------------------------------------------------------------------

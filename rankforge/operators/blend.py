@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions.columns import logit, rnd, sigmoid
 from rankforge.operators.joins import null_safe_join
-from rankforge.operators.metrics import auc_by, auc_columns
+from rankforge.operators.metrics import auc_by, auc_columns, row_loss
 from rankforge.operators.rank import percentile_rank_columns
 from rankforge.schema import LOGLOSS_CLIP
 from rankforge.session import cut_lineage, map_arrow
@@ -220,9 +220,10 @@ def fit_blend(df: DataFrame, rank_cols: list[str], label: str, other: str | None
               alpha_steps: int = 10, loss_weight: float = 0.0, rounds: int = 3, shrink: int = 5) -> BlendFit:
     """X3/X5 (one stage), X4 (``other`` and loss_weight=1e-4), X6 (``other``, AUC only).
 
-    Lattice search with refinement around each round's winner, all by exact
-    AUC; the winner is held against every single column, so the blend is never
-    worse than the best of them.
+    Lattice search with refinement around each round's winner, all exact; the
+    goal is the AUC or, with ``loss_weight``, ``loss_weight * log loss - AUC``.
+    The best round by that goal is held against every single column by the same
+    goal, so the blend is never worse than the best of them.
     """
     cands, step = simplex_lattice(len(rank_cols), divisions), 1.0 / divisions
     alphas, alpha_step = ([i / alpha_steps for i in range(alpha_steps + 1)], 1.0 / alpha_steps) if other else (None, 0.0)
@@ -230,17 +231,21 @@ def fit_blend(df: DataFrame, rank_cols: list[str], label: str, other: str | None
     for r in range(rounds):
         top = lattice_search(df, rank_cols, label, cands, 1, (), other, alphas, loss_weight).first()
         w = tuple(top[f"w{i + 1}"] for i in range(len(rank_cols)))
-        history.append((r, w, top["alpha"] if other else None, top["auc"]))
+        history.append((r, w, top["alpha"] if other else None, top["auc"], top["objective"] if loss_weight else -top["auc"]))
         step, alpha_step = step / shrink, alpha_step / shrink
         cands = local_lattice(w, step)
         if other:
             alphas = sorted({min(1.0, max(0.0, round(top["alpha"] + i * alpha_step, 10))) for i in range(-2, 3)})
     # refinement only ever looks around the winner, which is itself in the next lattice
-    _, w, alpha, auc = max(history, key=lambda h: h[3])
+    _, w, alpha, auc, goal = min(history, key=lambda h: h[4])
     singles = [*rank_cols, *([other] if other else [])]
     exact = {r["model"]: r["auc"] for r in auc_columns(df, singles, label).collect()}   # one row per column
-    single = max(singles, key=lambda c: (exact[c], -singles.index(c)))
-    if auc >= exact[single]:
+    loss = dict.fromkeys(singles, 0.0)
+    if loss_weight:
+        row = df.agg(*[F.avg(row_loss(c, label)).alias(c) for c in singles]).first()
+        loss = {c: loss_weight * row[c] for c in singles}
+    single = min(singles, key=lambda c: (loss[c] - exact[c], singles.index(c)))
+    if goal <= loss[single] - exact[single]:
         return BlendFit(w, alpha, auc, "blend", history)
     onehot = tuple(1.0 if c == single else 0.0 for c in rank_cols) if single in rank_cols else tuple(1.0 / len(rank_cols) for _ in rank_cols)
     return BlendFit(onehot, None if not other else float(single in rank_cols), exact[single], single, history)

@@ -19,7 +19,7 @@ from rankforge.operators.joins import null_safe_join
 from rankforge.operators.rank import attach_by_value, prefix_sums, quantile_splits, value_table
 from rankforge.schema import (CATEGORICAL_COLUMNS, LABEL_MISSING, MODE_MISSING, TE_MISSING,
                               TE_PAIRS, TE_SMOOTHING)
-from rankforge.session import cut_lineage, default_buckets
+from rankforge.session import cut_lineage, default_buckets, stored
 
 
 # ---------------------------------------------------------------------------------
@@ -353,6 +353,25 @@ def apply_frequency(rows: DataFrame, fmap: DataFrame, key: Column, out: str,
     return attach_by_value(rows.withColumn(k, key), m, [k], [out], max_hot).drop(k)
 
 
+def frequency_maps(train: DataFrame, cols: list[str]) -> DataFrame:
+    """(col, value, n, freq): G14 of several numeric columns from one grouping."""
+    args = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = train.select(F.expr(f"stack({len(cols)}, {args}) AS (col, value)")).where("value IS NOT NULL")
+    n = long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
+    total = n.groupBy("col").agg(F.sum("n").alias("_all"))                # a row per column
+    return n.join(F.broadcast(total), "col").select("col", "value", "n", (F.col("n") / F.col("_all")).alias("freq"))
+
+
+def apply_frequencies(rows: DataFrame, maps: DataFrame, cols: list[str], max_hot: int = 10000) -> DataFrame:
+    """Attach ``{col}_freq`` for each column (unseen -> NULL); the maps are stored first."""
+    maps = stored(maps, "frequencies")
+    sizes = {r["col"]: int(r["n"]) for r in maps.groupBy("col").agg(F.count(F.lit(1)).alias("n")).collect()}   # a row per column
+    for c in cols:
+        m = maps.where(F.col("col") == c).select(F.col("value").alias(c), F.col("freq").alias(f"{c}_freq"))
+        rows = attach_map(rows, m, [c], [f"{c}_freq"], sizes.get(c, 0), max_hot)
+    return rows
+
+
 def null_safe_key(cols: list[str]) -> Column:
     """A non-null, injective string key over ``cols`` (NULL fields are omitted by
     ``to_json``), so NULL cohorts join like window partitions do."""

@@ -66,12 +66,15 @@ def mean_fold_auc(fold_auc: DataFrame, group=()) -> DataFrame:
                                         F.count(F.lit(1)).alias("n_folds"))
 
 
+def row_loss(score: str, label: str, clip: float = LOGLOSS_CLIP) -> Column:
+    """Binary cross-entropy of a row, p clipped to [clip, 1-clip]; NULL without a score or a label."""
+    p, y = bounded(score, clip, 1.0 - clip), F.col(label).cast("double")
+    return -(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))
+
+
 def log_loss(df: DataFrame, score: str, label: str, strata=(), clip: float = LOGLOSS_CLIP) -> DataFrame:
     """Q3: mean binary cross-entropy with p clipped to [clip, 1-clip]; rows without a score or a label do not count."""
-    p = bounded(score, clip, 1.0 - clip)
-    y = F.col(label).cast("double")
-    loss = -(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))
-    return df.where(F.col(score).isNotNull()).groupBy(*strata).agg(F.avg(loss).alias("log_loss"))
+    return df.where(F.col(score).isNotNull()).groupBy(*strata).agg(F.avg(row_loss(score, label, clip)).alias("log_loss"))
 
 
 def ks_2samp(df: DataFrame, value: str, is_b: str, strata=(), n_buckets: int | None = None) -> DataFrame:
