@@ -7,5 +7,5 @@ inventory marks the check ``SQL~`` (exp/ln/pow, or sums whose order differs).
 """
 
 from rankforge.catalog.base import ORACLES, QUERIES, register  # noqa: F401
-from rankforge.catalog import core, splits_metrics, encoders, blends, projections, io_gates, fitting, boosting  # noqa: F401,E402
+from rankforge.catalog import core, splits_metrics, encoders, blends, projections, io_gates, fitting, boosting, runs  # noqa: F401,E402
 from rankforge.catalog.core import cohort_risk  # noqa: F401,E402

@@ -86,8 +86,25 @@ def ks_2samp(df: DataFrame, value: str, is_b: str, strata=(), n_buckets: int | N
     """
     strata = list(strata)
     b = F.col(is_b).cast("long")
-    t = cut_lineage(value_table(df.where(F.col(is_b).isNotNull()), value, strata, extra_sums={"n_b": b, "n_a": F.lit(1) - b}))
-    splits = quantile_splits(t, value, n_buckets or default_buckets(df.sparkSession),
+    t = value_table(df.where(F.col(is_b).isNotNull()), value, strata, extra_sums={"n_b": b, "n_a": F.lit(1) - b})
+    return ks_of_counts(t, value, strata, n_buckets)
+
+
+def ks_of_tables(a: DataFrame, b: DataFrame, value: str, strata=(), n_buckets: int | None = None) -> DataFrame:
+    """Q4 from value tables (strata, ``value``, n) that were counted before, of either sample: their rows are not read again.
+    Tables are mergeable: a sample's table is the union of its parts', summed up here."""
+    keep = [*strata, value]
+    both = (a.select(*keep, F.col("n").alias("n_a"), F.lit(0).cast("long").alias("n_b"))
+            .unionByName(b.select(*keep, F.lit(0).cast("long").alias("n_a"), F.col("n").alias("n_b"))))
+    t = both.where(F.col(value).isNotNull()).groupBy(*keep).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
+    return ks_of_counts(t.withColumn("n", F.col("n_a") + F.col("n_b")), value, strata, n_buckets)
+
+
+def ks_of_counts(table: DataFrame, value: str, strata=(), n_buckets: int | None = None) -> DataFrame:
+    """Q4 from (strata, ``value``, n, n_a, n_b), one row per value."""
+    strata = list(strata)
+    t = cut_lineage(table)
+    splits = quantile_splits(t, value, n_buckets or default_buckets(table.sparkSession),
                              sum_cols=("n_a", "n_b"))
     t = prefix_sums(t, value, strata, ["n_a", "n_b"], splits)
     if strata:

@@ -143,8 +143,9 @@ def fit_fold_features(train: DataFrame, label: str, inner_k: int = 5, seed: int
     return plan, finish(plan, enc_train, codes)
 
 
-def transform_fold_features(plan: FoldFeatures, rows: DataFrame) -> DataFrame:
-    d = base_features(rows)
+def transform_fold_features(plan: FoldFeatures, rows: DataFrame, engineered: bool = False) -> DataFrame:
+    """New rows with a fold's encodings; ``engineered``: they have ``base_features`` already."""
+    d = rows if engineered else base_features(rows)
     lv = {c: F.col(f"lvl_{c}") for c in LEVEL_COLS}
     enc = EN.apply_frozen_encoding(d, plan.te_global, lv)
     return finish(plan, enc, EN.extend_codes(plan.codes, rows, CATEGORICAL_COLUMNS))
