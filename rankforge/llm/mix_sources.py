@@ -10,9 +10,12 @@ stream, so at most two documents of a source are cut per shard of the mix.
 
 Defined results: a document with null or blank text has size 0 and takes no
 words; null sources form one source, after all others; repeated rows count
-each on their own; ties in the seeded order fall to the id and size, and equal
-quotients to the earlier source; an empty table, or one without words, gives
-targets of 0.  Only DataFrame functions; reruns give equal results.
+each on their own; the seeded order goes by id and text, so equal or null ids
+spread over a source's buckets and reruns agree (ties are left between rows
+that are equal in both); equal quotients fall to the earlier source; columns of
+any name are carried along, and one named like a result (``_taken`` ...) gives
+way to it; an empty table, or one without words, gives targets of 0.  Only
+DataFrame functions; reruns give equal results.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from rankforge.llm.common import read, shared_table
 
 #: Documents of a source are numbered within so many buckets of their seeded hash.
 BUCKETS = 1024
+RESULTS = ["_size", "_source_size", "_target", "_taken", "_full", "_from1", "_to1", "_from2", "_to2"]
 WHITE = [32, 9, 10, 11, 12, 13]
 
 
@@ -36,9 +40,9 @@ def word_count(text: Column) -> Column:
 
 def _streams(docs: DataFrame, seed: int) -> DataFrame:
     """Adds the source's key, the words and the place in the seeded order."""
-    h = F.xxhash64(F.col("doc_id"), F.lit(seed))
     return (docs.withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")))
-            .withColumn("_size", word_count(F.col("text"))).withColumn("_h", h)
+            .withColumn("_size", word_count(F.col("text"))).withColumn("_digest", F.xxhash64("text"))
+            .withColumn("_h", F.xxhash64(F.col("doc_id"), F.col("_digest"), F.lit(seed)))
             .withColumn("_bucket", F.shiftrightunsigned(F.col("_h"), 54).cast("int")))
 
 
@@ -99,7 +103,9 @@ def mix(docs: DataFrame, seed: int = 17, shards: int = 16, max_blocks: int = 1 <
 
     A block has max(1, ceil(words / max_blocks)) words.
     """
-    names = docs.columns
+    names = [n for n in docs.columns if n not in RESULTS]
+    inner = [f"_c{i}" for i in range(len(names))]      # so that no column of the documents meets one made here
+    carried = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(names, inner)], "doc_id", "text", "source")
     narrow = shared_table(_streams(docs.select("doc_id", "source", "text"), seed).select("source", "_key", "_bucket", "_size"), "mix")
     buckets = shared_table(narrow.groupBy("_key", "_bucket").agg(F.first("source").alias("source"), F.sum("_size").alias("_n")), "mix")
     sources = buckets.groupBy("_key").agg(F.first("source").alias("source"), F.sum("_n").alias("total"))
@@ -115,9 +121,9 @@ def mix(docs: DataFrame, seed: int = 17, shards: int = 16, max_blocks: int = 1 <
             .select("_key", F.col("total").alias("_source_size"), F.coalesce("target", F.lit(0.0)).alias("_target"), "_full", "_rest", "_start"))
     before = F.sum("_n").over(Window.partitionBy("_key").orderBy("_bucket")) - F.col("_n")
     offsets = buckets.select("_key", "_bucket", before.alias("_before")).join(plan, "_key")
-    inside = (Window.partitionBy("_key", "_bucket").orderBy("_h", "doc_id", "_size")
+    inside = (Window.partitionBy("_key", "_bucket").orderBy("_h", "doc_id", "_digest", "_size")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (_streams(docs, seed).join(offsets, ["_key", "_bucket"])
+    out = (_streams(carried, seed).join(offsets, ["_key", "_bucket"])
            .withColumn("_at", F.col("_before") + F.sum("_size").over(inside) - F.col("_size")))
 
     def part(low: str, high: str) -> tuple[Column, Column]:
@@ -129,7 +135,7 @@ def mix(docs: DataFrame, seed: int = 17, shards: int = 16, max_blocks: int = 1 <
     out = (out.withColumn("_from1", F.least(a1, F.col("_size"))).withColumn("_to1", F.least(b1, F.col("_size")))
            .withColumn("_from2", F.least(a2, F.col("_size"))).withColumn("_to2", F.least(b2, F.col("_size")))
            .withColumn("_taken", F.col("_full") * F.col("_size") + F.expr("_to1 - _from1 + _to2 - _from2")))
-    return out.select(*names, "_size", "_source_size", "_target", "_taken", "_full", "_from1", "_to1", "_from2", "_to2")
+    return out.select(*[F.col(c).alias(n) for n, c in zip(names, inner)], *RESULTS)
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
@@ -148,7 +154,7 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     taken = mix(docs, seed).filter("_taken > 0").withColumn("text", F.explode(copies))
     if "n_chars" in docs.columns:
         taken = taken.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return taken.select(*docs.columns)
+    return taken.select(*[F.col(f"`{n}`") for n in docs.columns if n not in RESULTS])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,14 +10,16 @@ near its parent, one without labels is its parent.  Posterior log-odds =
 evidence + logit(path rate) - logit(global rate).
 
 Features are computed where the texts are read and never shuffled with them;
-the site table is broadcast when it is small (its size is checked) and joined
-by a skew-proof lookup otherwise.
+the site table is broadcast when it is small (its size is checked).  Beyond
+that the sites that hold over a thousandth of the documents are broadcast, and
+only the documents of the others are shuffled by their site.
 
 Defined results: a null, empty or blank text is rejected (probability 0); null
 hosts and paths are sites of their own; labels without id or quality are not
 used, several labels of a document count each; with no labels, or of one class
-only, the evidence is 0; repeated rows get equal results; an empty table gives
-an empty result.
+only, the evidence is 0; repeated rows get equal results; columns of any name
+are carried along, and one named like a result (``_kept`` ...) gives way to it;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ KEEP_FROM = 0.5
 MOST_EVIDENCE = 12.0
 #: A site table of so many rows is broadcast (host, path and two numbers a row).
 SMALL_SITES = 50_000
+RESULTS = ["_evidence", "_host_rate", "_path_rate", "_quality", "_kept"]
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 _MARKS = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
 FEATURES = ("words", "word_length", "upper", "digits", "marks", "bangs", "bars", "ends", "variety", "echoes", "lines", "line_variety",
@@ -138,6 +141,17 @@ def site_rates(labelled: DataFrame) -> tuple[DataFrame, DataFrame, float]:
     return shared_table(below, "sites"), shared_table(hosts, "sites"), overall
 
 
+def with_site_rates(scored: DataFrame, sited: DataFrame, hosts: DataFrame, paths: DataFrame) -> DataFrame:
+    """``host_rate`` and ``path_rate`` for the rows of ``scored``, whatever part of them one site holds.
+
+    A table of every site that documents have, with its number of documents, says
+    which ones are hot: ``lookup_join`` broadcasts those and shuffles the rest.
+    """
+    sites = sited.groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("_docs"))
+    rates = shared_table(sites.join(hosts.drop("n"), "_host", "left").join(paths.drop("n"), ["_host", "_path"], "left"), "site-rates")
+    return lookup_join(shared_table(scored, "scored"), rates, ["_host", "_path"], "_docs").drop("_docs")
+
+
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``_evidence``, ``_host_rate``, ``_path_rate``, ``_quality`` (posterior probability) and ``_kept``."""
     sited = docs.select("doc_id", F.coalesce(F.concat(F.lit("h"), host), F.lit("")).alias("_host"),
@@ -154,19 +168,23 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, kee
     weights = fit_logistic(np.array([r["_x"] for r in sample], dtype=np.float64).reshape(-1, len(FEATURES)),
                            np.array([r["quality"] for r in sample], dtype=np.float64))
     paths, hosts, overall = site_rates(labelled.select("_host", "_path", "quality"))
-    names = keep or docs.columns
-    scored = with_features(docs.withColumns({"_host": F.coalesce(F.concat(F.lit("h"), host), F.lit("")),
-                                             "_path": F.coalesce(F.concat(F.lit("p"), path), F.lit(""))}),
-                           [*names, "_host", "_path"]).withColumn("_evidence", evidence(weights)).drop("_x")
+    names = [n for n in keep or docs.columns if n not in RESULTS]
+    inner = [f"_c{i}" for i in range(len(names))]      # so that no column of the documents meets one made here
+    carried = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(names, inner)], "text",
+                          F.coalesce(F.concat(F.lit("h"), host), F.lit("")).alias("_host"),
+                          F.coalesce(F.concat(F.lit("p"), path), F.lit("")).alias("_path"))
+    scored = with_features(carried, [*inner, "_host", "_path"]).withColumn("_evidence", evidence(weights)).drop("_x")
     if paths.count() <= SMALL_SITES:
-        paths, hosts = F.broadcast(paths), F.broadcast(hosts)
-    scored = (scored.join(hosts.drop("n"), "_host", "left").join(paths.drop("n"), ["_host", "_path"], "left")
-              .withColumn("_host_rate", F.coalesce("host_rate", F.lit(overall)))
+        scored = (scored.join(F.broadcast(hosts.drop("n")), "_host", "left")
+                  .join(F.broadcast(paths.drop("n")), ["_host", "_path"], "left"))
+    else:
+        scored = with_site_rates(scored, sited, hosts, paths)
+    scored = (scored.withColumn("_host_rate", F.coalesce("host_rate", F.lit(overall)))
               .withColumn("_path_rate", F.coalesce("path_rate", "_host_rate")))
     odds = F.col("_evidence") + logit(F.col("_path_rate")) - logit(F.lit(overall))
     return (scored.withColumn("_quality", F.coalesce(1 / (1 + F.exp(-odds)), F.lit(0.0)))
             .withColumn("_kept", F.col("_quality") >= KEEP_FROM)
-            .select(*names, "_evidence", "_host_rate", "_path_rate", "_quality", "_kept"))
+            .select(*[F.col(c).alias(n) for n, c in zip(names, inner)], *RESULTS))
 
 
 def classify_documents(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
