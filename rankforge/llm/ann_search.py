@@ -4,8 +4,10 @@ The largest inner product is the smallest distance once every vector gets one
 more component, sqrt(M^2 - |x|^2) with M the largest norm (a query gets 0).  The
 lists' centres come from k-means on a bounded sample; every row is then
 assigned to its list.  Vectors are rotated at random, so any prefix of their
-columns is a fair sample of all.  A query visits the lists nearest to it;
-within a list the squared distance is summed up over blocks of columns, and after each block a hypothesis test
+columns is a fair sample of all.  A query scans the few lists nearest to it
+first, which gives it a bound, and then every list but those that are unlikely
+to hold a nearer row (``chosen_lists``).  Within a list the squared distance is
+summed up over blocks of columns, and after each block a hypothesis test
 compares the partial sum, scaled to all columns, with the distance of the
 query's k-th best so far: candidates that are very unlikely to beat it are
 abandoned.  Survivors are scored by the inner product of the original vectors
@@ -35,9 +37,9 @@ from rankforge.llm.common import map_arrow, read, scan_groups, shared_table
 from rankforge.llm.embedding_dedup import usable
 
 SEED = 20240611
-#: Rows the centres are fitted on, at most; lists, at most; share of the lists a query visits, how many
-#: at least, and the share it visits first, for its bound.
-SAMPLE_ROWS, LISTS_MOST, PROBED, LEAST_VISITS, FIRST = 20_000, 1024, 0.75, 32, 0.05
+#: Rows the centres are fitted on, at most; lists, at most; share of the lists a query visits first, for its
+#: bound; share of the rows within that bound that the lists it skips are expected to hold.
+SAMPLE_ROWS, LISTS_MOST, FIRST, LOSS = 20_000, 1024, 0.05, 0.05
 #: Rotated columns summed up between two tests; the test's margin: a row is
 #: abandoned if its scaled partial distance is over (1 + MARGIN / sqrt(columns seen)) times the k-th best.
 COLUMNS, MARGIN = 16, 2.1
@@ -70,6 +72,47 @@ def nearest(rows: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     return np.argmin(far, 1)[:, None] if n == 1 else np.argsort(far, 1, kind="stable")[:, :n]
 
 
+def spread_columns(sample: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Per list, over how many directions the sample's rows spread around its
+    centre: (tr C)^2 / tr C^2 of their scatter C, at least 1."""
+    own = nearest(sample, centres, 1)[:, 0]
+    out = np.ones(len(centres))
+    for i in range(len(centres)):
+        x = sample[own == i] - centres[i]
+        c = x.T @ x if len(x) > x.shape[1] else x @ x.T
+        if len(x) and np.trace(c) > 0:
+            out[i] = max(1.0, np.trace(c) ** 2 / (c * c).sum())
+    return out
+
+
+def chosen_lists(far: np.ndarray, bound: np.ndarray, seen: np.ndarray, lists: dict[str, np.ndarray], k: int, loss: float) -> np.ndarray:
+    """(queries, lists) booleans: the lists to scan after those ``seen``.
+
+    ``far`` is the squared distance of query and centre, ``bound`` that of the
+    query's k-th best so far.  A row r away from its centre lies at far + r^2 -
+    2 sqrt(far) r cos(angle); over the list's rows this has mean far + mean r^2
+    and, by the number of directions they spread over, a known variance.  The
+    normal upper tail bound of falling under ``bound`` times the rows is the
+    number of rows the list is expected to add.  The lists seen hold k rows
+    within the bound; the lists that add least are skipped as long as all
+    skipped ones together add at most the share ``loss`` of these k and all
+    that is expected.  A list whose farthest row cannot come near enough adds
+    nothing.  A query without a bound skips no list.
+    """
+    mean, dev = far + lists["mean"], np.sqrt(lists["var"] + 4 * far * lists["mean"] / lists["spread"])
+    z = np.maximum((mean - bound[:, None]) / np.maximum(dev, 1e-12), 1e-12)
+    adds = lists["rows"] * np.exp(-np.minimum(z * z / 2, 700)) * np.minimum(0.5, 1 / (z * np.sqrt(2 * np.pi)))
+    with np.errstate(invalid="ignore"):
+        adds[np.sqrt(far) - np.sqrt(lists["most"]) > np.sqrt(bound)[:, None] + 1e-9] = 0
+    adds[seen] = 0
+    spare = loss * (k + adds.sum(1, keepdims=True))
+    order = np.argsort(adds, 1, kind="stable")
+    skip = np.empty(adds.shape, dtype=bool)
+    np.put_along_axis(skip, order, np.cumsum(np.take_along_axis(adds, order, 1), 1) <= spare, 1)
+    skip[np.isinf(bound)] = False
+    return ~skip & ~seen
+
+
 def scan_block(queries: np.ndarray, rows: np.ndarray, own: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) index pairs that survive the adaptive scan of rotated
     vectors.  ``own`` marks pairs that must not meet; ``bound`` is each query's
@@ -108,11 +151,12 @@ def best_of(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.nda
     return order[place < k]
 
 
-def search(vectors: DataFrame, asks: Column, k: int = 20, probed: float = PROBED) -> DataFrame:
+def search(vectors: DataFrame, asks: Column, k: int = 20, loss: float = LOSS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of every row of (vec_id, embedding) that ``asks``.
 
     Each query first scans the few lists nearest to it; the k-th best score
-    found there is the bound it takes to all its other lists.
+    found there is the bound it takes to the other lists; those that are
+    expected to hold the share ``loss`` of the rows within it are skipped.
     """
     spark = vectors.sparkSession
     # single precision is kept as it came; everything is computed in double
@@ -149,9 +193,9 @@ def search(vectors: DataFrame, asks: Column, k: int = 20, probed: float = PROBED
 
     sample = extended(matrix([r[0] for r in picked]), False)
     lists = max(1, min(LISTS_MOST, int(total ** 0.5 / 2), len(sample)))
-    visits = min(lists, max(LEAST_VISITS, int(np.ceil(lists * probed))))
-    first = min(visits, max(1, int(np.ceil(lists * FIRST))))
-    index = spark.sparkContext.broadcast((fit_centres(sample, lists), rotation(size + 1)))
+    first = int(np.ceil(lists * FIRST))
+    fitted = fit_centres(sample, lists)
+    index = spark.sparkContext.broadcast((fitted, rotation(size + 1)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, _ = index.value
@@ -161,14 +205,16 @@ def search(vectors: DataFrame, asks: Column, k: int = 20, probed: float = PROBED
             m = matrix(batch.column(2).to_pylist())
             ask = np.array(batch.column(1).to_pylist(), dtype=bool)
             visit = np.array([None] * len(m), dtype=object)
-            for i, x in zip(np.flatnonzero(ask), nearest(extended(m[ask], True), centres, visits) if ask.any() else ()):
+            for i, x in zip(np.flatnonzero(ask), nearest(extended(m[ask], True), centres, first) if ask.any() else ()):
                 visit[i] = x.reshape(-1)
+            x = extended(m, False)
+            own = nearest(x, centres, 1)[:, 0]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2), pa.array(nearest(extended(m, False), centres, 1)[:, 0], pa.int32()),
-                pa.array(visit.tolist(), pa.list_(pa.int32()))], ["vec_id", "vector", "list", "visits"])
+                batch.column(0), batch.column(2), pa.array(own, pa.int32()), pa.array(((x - centres[own]) ** 2).sum(1)),
+                pa.array(visit.tolist(), pa.list_(pa.int32()))], ["vec_id", "vector", "list", "away", "visits"])
 
     listed = shared_table(map_arrow(usable_rows.select("vec_id", "asks", "vector"), assign,
-                                    "vec_id long, vector binary, list int, visits array<int>"), "ann")
+                                    "vec_id long, vector binary, list int, away double, visits array<int>"), "ann")
     rows = listed.select("vec_id", "vector", "list")
     one = Window.partitionBy("vec_id").orderBy("vector")
     queries = shared_table(listed.filter("visits is not null").withColumn("_one", F.row_number().over(one)).filter("_one = 1")
@@ -219,11 +265,37 @@ def search(vectors: DataFrame, asks: Column, k: int = 20, probed: float = PROBED
 
     unknown = F.lit(float("-inf"))
     near = shared_table(ranked(scan(queries.select("vec_id", "vector", unknown.alias("floor"),
-                                                   F.explode(F.slice("visits", 1, first)).alias("list")))).drop("rank"), "ann")
-    if visits > first:
+                                                   F.explode("visits").alias("list")))).drop("rank"), "ann")
+    if lists > first:
         floors = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
-        rest = queries.join(floors, "vec_id", "left").select(
-            "vec_id", "vector", F.coalesce("floor", unknown).alias("floor"), F.explode(F.slice("visits", first + 1, visits)).alias("list"))
+        about = {name: np.zeros(lists) for name in ("rows", "mean", "var", "most")}
+        # at most LISTS_MOST rows
+        for r in listed.groupBy("list").agg(F.count(F.lit(1)).alias("rows"), F.avg("away").alias("mean"), F.var_pop("away").alias("var"),
+                                            F.max("away").alias("most")).collect():
+            for name in about:
+                about[name][r["list"]] = r[name]
+        about["spread"] = spread_columns(sample, fitted)
+        known = spark.sparkContext.broadcast(about)
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            centres, _ = index.value
+            for whole in batches:
+                for at in range(0, whole.num_rows, 1024):
+                    batch = whole.slice(at, 1024)
+                    q = extended(matrix(batch.column(1).to_pylist()), True)
+                    floor = batch.column(2).to_numpy(zero_copy_only=False)
+                    norm = (q * q).sum(1)
+                    seen = np.zeros((len(q), lists), dtype=bool)
+                    for i, x in enumerate(batch.column(3).to_pylist()):
+                        seen[i, x] = True
+                    far = np.maximum(norm[:, None] + (centres * centres).sum(1) - 2 * q @ centres.T, 0)
+                    scans = chosen_lists(far, np.maximum(norm + most - 2 * floor, 0), seen, known.value, k, loss)
+                    i, chosen = np.nonzero(scans)
+                    yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(i)) for c in range(3)], pa.array(chosen, pa.int32())],
+                                                     ["vec_id", "vector", "floor", "list"])
+
+        bounded = queries.join(floors, "vec_id", "left").select("vec_id", "vector", F.coalesce("floor", unknown).alias("floor"), "visits")
+        rest = shared_table(map_arrow(bounded, choose, "vec_id long, vector binary, floor double, list int"), "ann")
         near = near.unionByName(scan(rest))
     return ranked(near).select("query_id", "rank", "vec_id", "score")
 
